@@ -70,6 +70,7 @@ def put_file(uri: str, write) -> None:
     """Run write(stream) on a temporary name, then move the file to its place."""
     fs, path = fs_of(uri)
     tmp = f"{path}.{uuid.uuid4().hex}.tmp"
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
     with fs.open_output_stream(tmp) as out:
         write(out)
     fs.move(tmp, path)
