@@ -53,11 +53,9 @@ def remove(uri: str) -> None:
         _made.remove(uri)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Delete every work folder of this driver. Only for callers that have written all earlier results out."""
-    for uri in list(_made):
-        remove(uri)
-    spark.sparkContext._jvm.System.gc()  # lets Spark drop shuffle files of plans that are gone
+def made_since(mark: int | None = None) -> int | list[str]:
+    """Without a mark, a mark; with one, the work folders made since."""
+    return len(_made) if mark is None else _made[mark:]
 
 
 def fs_of(uri: str) -> tuple[pafs.FileSystem, str]:

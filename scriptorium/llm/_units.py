@@ -143,21 +143,24 @@ def meet(kept: DataFrame, out: str, send: Callable[[str, pa.Table, np.ndarray, i
     return write_once(sent.mapInArrow(answering, "unit string, data binary"), f"{out}/answers")
 
 
-def finish(answers: DataFrame, docs: DataFrame, text_col: str, extra: str, edit: Callable) -> DataFrame:
+def finish(answers: DataFrame, docs: DataFrame, text_col: str, extra: str, edit: Callable, binary: bool = False) -> DataFrame:
     """The documents with edited texts and the columns of extra (a DDL string).
 
     edit(path, unit, answers) gives (list of texts as bytes, list of extra arrays) in the unit's order.
     """
-    from pyspark.sql.types import StructType
+    from pyspark.sql.types import BinaryType, StringType, StructField, StructType
 
-    schema = StructType([f for f in docs.schema.fields] + StructType.fromDDL(extra).fields)
+    as_type = BinaryType() if binary else StringType()
+    fields = [StructField(f.name, as_type) if f.name == text_col else f for f in docs.schema.fields]
+    schema = StructType(fields + StructType.fromDDL(extra).fields)
     names = [f.name for f in schema.fields]
 
     def run(batches):
         for path, rows in groups(batches):
             unit = get_table(path)
             texts, more = edit(path, unit, [r[1] for r in rows if r[1] is not None])
-            cols = {c: unit.column(c) for c in docs_cols if c != text_col} | {text_col: pa.chunked_array([pa.array(texts, pa.binary()).cast(pa.string())])} | dict(zip(names[len(docs_cols) :], more))
+            text = pa.array(texts, pa.binary())
+            cols = {c: unit.column(c) for c in docs_cols if c != text_col} | {text_col: text if binary else text.cast(pa.string())} | dict(zip(names[len(docs_cols) :], more))
             t = pa.table([cols[c] for c in names], names)
             yield from t.to_batches(max_chunksize=2048)
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, id_text, null_id, work_dir, write_once
+from ._common import id_text, null_id, work_dir, write_once
 
 THRESHOLD = 0.3
 RIDGES = (1e-1, 1e-2, 1e-3)
@@ -157,14 +157,12 @@ def fit(train: DataFrame, prior: float) -> Model | None:
     return model
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", held_out=None, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for every document.
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", held_out=None) -> tuple[Model | None, DataFrame]:
+    """The model and the feature table (doc_id, f) of all documents.
 
     held_out(id column as text) says which labels must not be learned from. Documents without a label to learn from are the unlabelled ones.
     """
-    spark = docs.sparkSession
-    held = held_out or (lambda c: F.crc32(c.cast("binary")) % 5 == 0)
-    uri = work_dir(spark, "quality")
+    held, uri = held_out or held_out_fifth, work_dir(docs.sparkSession, "quality")
     known = labels.where(F.col(label_id).isNotNull() & F.col(label_col).isNotNull() & ~held(F.col(label_id).cast("string")))
     known = known.groupBy(F.col(label_id).cast("long").alias("doc_id")).agg(F.min(F.col(label_col).cast("int")).alias("label"))
     rate = known.agg(F.avg((F.col("label") == 1).cast("double")).alias("p")).first()["p"]
@@ -173,14 +171,43 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     rows = rows.select("doc_id", "f", F.expr("case when label is null then 0 when label = 1 then 1 else -1 end").cast("int").alias("kind"))
     table = write_once(rows, f"{uri}/features")
     model = None if rate is None else fit(table.where("kind >= 0").select("f", "kind"), min(0.99, max(0.01, rate)))
+    return model, table.select("doc_id", "f")
+
+
+def held_out_fifth(id_text_col):
+    return F.crc32(id_text_col.cast("binary")) % 5 == 0
+
+
+def scores(model: Model | None, f: np.ndarray) -> np.ndarray:
+    return model.score(f) if model else np.full(len(f), 0.5)
+
+
+def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, held_out=None, **names) -> DataFrame:
+    """doc_id, held_out, score, predicted for every document; the other parameters are those of train()."""
+    model, table = train(docs, labels, held_out=held_out, **names)
+    held = held_out or held_out_fifth
 
     def score(batches):
         for b in batches:
-            s = model.score(_matrix(b.column("f"))) if model else np.full(b.num_rows, 0.5)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores(model, _matrix(b.column("f"))))], ["doc_id", "score"])
+
+    out = table.mapInArrow(score, "doc_id long, score double").select(null_id(), "score")
+    return out.select("doc_id", F.coalesce(held(F.col("doc_id").cast("string")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, text_col: str = "text", **names) -> DataFrame:
+    """The rows of docs whose score reaches the threshold, with all their columns; nothing is shuffled for that."""
+    model, _ = train(docs, labels, text_col=text_col, **names)
+
+    def keep(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                p = b.slice(at, 1024)
+                text = p.column(b.schema.get_field_index(text_col)).cast(pa.binary()).to_pylist()
+                f = np.stack([features(t or b"") for t in text]).astype(np.float64)
+                yield p.filter(pa.array(scores(model, f) >= threshold))
 
-    out = table.select("doc_id", "f").mapInArrow(score, "doc_id long, score double")
-    return out.select(null_id(), "score").select("doc_id", F.coalesce(held(F.col("doc_id").cast("string")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:

@@ -121,7 +121,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
 
 def _group_links(fp: np.ndarray, node: np.ndarray, radius: int):
     """Links of a large group: a search in which every node found is compared only with those not found yet."""
-    left = np.arange(len(fp))
+    left = np.argsort(node, kind="stable")  # smaller nodes first, so that groups of several keys give the same links
     while len(left):
         todo, left = [left[0]], left[1:]
         while todo and len(left):
@@ -150,15 +150,17 @@ def links_in(keys: np.ndarray, fp: np.ndarray, node: np.ndarray, radius: int):
 
 
 def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, node) rows with distinct fp → links (u, v) enough to connect all nodes within radius bits."""
+    """(fps, node) rows, fps an array of one fingerprint for each seed → links (u, v) enough to connect all nodes within radius bits for a seed."""
 
     def spread(batches):
         for b in batches:
             for at in range(0, b.num_rows, 8192):
                 p = b.slice(at, 8192)
-                fp = np.asarray(p.column("fp")).view(np.uint64)
-                rows, keys = keys_of(fp)
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[rows].view(np.int64)), pa.array(np.asarray(p.column("node"))[rows])], ["key", "fp", "node"])
+                fps, node = np.asarray(p.column("fps").flatten()).reshape(p.num_rows, -1).view(np.uint64), np.asarray(p.column("node"))
+                for seed in range(fps.shape[1]):
+                    fp = np.ascontiguousarray(fps[:, seed])
+                    rows, keys = keys_of(fp)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys | seed << 26), pa.array(fp[rows].view(np.int64)), pa.array(node[rows])], ["key", "fp", "node"])
 
     def verify(batches):
         kept = None
@@ -180,7 +182,7 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
             uv = np.unique(np.stack((np.maximum(u, v), np.minimum(u, v)), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(uv[:, 0]), pa.array(uv[:, 1])], ["u", "v"])
 
-    keyed = nodes.select("fp", "node").mapInArrow(spread, "key long, fp long, node long")
+    keyed = nodes.select("fps", "node").mapInArrow(spread, "key long, fp long, node long")
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(verify, "u long, v long")
 
 
@@ -191,11 +193,81 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     uri = work_dir(docs.sparkSession, "simhash")
     prints = write_once(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, seed=seed), f"{uri}/prints")
     nodes = write_once(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), f"{uri}/nodes")
-    root = components(links(nodes, radius), f"{uri}/components")
+    root = components(links(nodes.select(F.array("fp").alias("fps"), "node"), radius), f"{uri}/components")
     group = nodes.join(root, nodes["node"] == root["u"], "left").select("fp", F.coalesce("root", "node").alias("component_id"))
     out = prints.join(group, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     return out.select(null_id(), "fingerprint", null_id("component_id"))
 
 
+def _word_prints(text: bytes, seeds: int) -> tuple[int, list[int]]:
+    """A hash of the lower-cased words in order, and SimHashes over the distinct words, one for each seed."""
+    w = text.lower().split()
+    whole = xxhash.xxh3_64_intdigest(b" ".join(w)) - (1 << 63)
+    if not w:
+        return whole, [0] * seeds
+    h = np.fromiter(map(xxhash.xxh64_intdigest, set(w)), np.uint64)
+    out = []
+    for s in range(seeds):
+        x = h * np.uint64(0x9E3779B97F4A7C15 + 2 * s) ^ np.uint64(s * 0xD1B54A32D192ED03 % (1 << 64))
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+        x ^= x >> np.uint64(29)
+        ones = np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits(2 * ones > len(x), bitorder="little").view("<i8")[0]))
+    return whole, out
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; fewer words: the whole sequence."""
+    w = text.lower().split()
+    parts = map(b" ".join, zip(*(w[k:] for k in range(shingle)))) if len(w) >= shingle else [b" ".join(w)]
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64))
+
+
+def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seeds: int = 4) -> DataFrame:
+    """Per document: doc_id, component_id over links of texts whose shingle sets reach the Jaccard similarity.
+
+    Candidates come from SimHashes over the distinct words, one for each seed, within three bits by the same keys; words
+    move far less than shingles do under an edit, so three bits reach down to the similarity asked for. Every candidate link is
+    verified on the sets of word shingles. Texts of equal words are one node; rows of one id count as one document.
+    """
+    spark, uri = docs.sparkSession, work_dir(docs.sparkSession, "similar")
+    source = id_text(docs, id_col, text_col)
+
+    def mark(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                p = b.slice(at, 512)
+                whole, fps = zip(*(_word_prints(t, seeds) for t in p.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([p.column(0), pa.array(whole, pa.int64()), pa.array(fps, pa.list_(pa.int64()))], ["doc_id", "whole", "fps"])
+
+    marks = write_once(source.mapInArrow(mark, "doc_id long, whole long, fps array<long>"), f"{uri}/marks")
+    nodes = write_once(marks.groupBy("whole").agg(F.min("doc_id").alias("node"), F.min("fps").alias("fps")), f"{uri}/nodes")
+    near = write_once(links(nodes).distinct(), f"{uri}/near")
+    ends = near.select(F.col("u").alias("doc_id")).union(near.select("v")).distinct()
+
+    def sets(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                p = b.slice(at, 512)
+                yield pa.RecordBatch.from_arrays([p.column(0), pa.array([shingle_set(t, shingle).tobytes() for t in p.column(1).to_pylist()], pa.binary())], ["node", "s"])
+
+    sets_ = source.join(ends, "doc_id", "left_semi").mapInArrow(sets, "node long, s binary").groupBy("node").agg(F.min("s").alias("s"))
+    sets_ = write_once(sets_, f"{uri}/sets")
+
+    def verify(batches):
+        for b in batches:
+            ok = []
+            for x, y in zip(b.column("su"), b.column("sv")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True)) if similarity * max(len(x), len(y)) <= min(len(x), len(y)) else 0
+                ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    paired = near.join(sets_.select(F.col("node").alias("u"), F.col("s").alias("su")), "u").join(sets_.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v")
+    root = components(paired.select("u", "v", "su", "sv").mapInArrow(verify, "u long, v long"), f"{uri}/components")
+    group = nodes.join(root, nodes["node"] == root["u"], "left").select("whole", F.coalesce("root", "node").alias("component_id"))
+    return marks.join(group, "whole").select(null_id(), null_id("component_id"))
+
+
 def op6_simhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3)
