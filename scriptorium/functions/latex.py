@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType
 
 _INNER = ("aligned", "align", "cases", "matrix", "pmatrix", "bmatrix", "vmatrix", "array", "gathered", "split", "smallmatrix")
 _OUTER = ("equation", "align", "gather", "multline", "eqnarray")
@@ -155,11 +156,11 @@ def expand_refs(s: str, index: dict[str, str], depth: int = 5) -> tuple[str, lis
         level = min(level + 1, depth)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def heal(s: pd.Series) -> pd.Series:
     return s.map(heal_text)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def placeholder_roundtrip(s: pd.Series) -> pd.Series:
     return s.map(lambda t: show_math(*hide_math(t)) == (t or ""))
