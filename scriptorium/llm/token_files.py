@@ -225,7 +225,7 @@ def read_documents(manifest: DataFrame, doc_ids: list[int]) -> DataFrame:
             for path in b.column("path").to_pylist():
                 r = ShardReader(path)
                 for k in r.rows(doc_ids):
-                    yield pa.RecordBatch.from_pydict({"doc_id": [int(r.index["doc_id"][k])], "ids": [r.ids(k).astype("i4").tolist()]})
+                    yield pa.RecordBatch.from_arrays([pa.array([int(r.index["doc_id"][k])]), pa.array([r.ids(k).astype("i4")], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return manifest.repartition(max(1, manifest.count())).mapInArrow(read, "doc_id long, ids array<int>")
 
