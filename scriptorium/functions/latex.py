@@ -92,7 +92,7 @@ def heal_text(s: str) -> str:
     s = brackets_to_matrix(s)
     s = re.sub(r"\$\$\s*(.*?)\s*\$\$", lambda m: "\\[\n" + m[1] + "\n\\]", s, flags=re.S)
     s = re.sub(r"(?<!\\)\\\\(begin|end)\{", r"\\\1{", s)
-    return heal_inner(balance_environments(balance_dollars(balance_inline(balance_display(s)))))
+    return heal_inner(balance_environments(balance_dollars(balance_inline(balance_display(s))))).strip()
 
 
 def hide_math(s: str) -> tuple[str, list[str]]:

@@ -28,7 +28,7 @@ def new_blocks(source: DataFrame, target: DataFrame, raw: str, order: list[str],
 def insert_payload(target, payload, at_end: bool = False):
     """The payload before the last end of the document, or at the end."""
     t, p = text(target), text(payload)
-    cut = F.length(t) - F.length(F.substring_index(t, F.lit(END), -1)) - len(END)
+    cut = F.length(t) - F.length(F.substring_index(t, END, -1)) - len(END)
     tail = F.regexp_replace(t, r"(?U)\s+\z", "")
     end = F.concat(tail, F.lit("\n\n"), F.regexp_replace(p, r"(?U)\s+\z", ""), F.lit("\n"))
     inside = F.concat(F.regexp_replace(F.substring(t, F.lit(1), cut), r"(?U)\s+\z", ""), F.lit("\n\n"), F.regexp_replace(p, r"(?U)\s+\z", ""), F.lit("\n\n"), F.substring(t, cut + 1, F.length(t)))
