@@ -38,7 +38,7 @@ class Encoder:
     whole texts go to the library.
     """
 
-    def __init__(self, path: str, local: bool = True, most: int = 400_000):
+    def __init__(self, path: str, local: bool = True, most: int = 1_200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
