@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, quality, simhash, substrings, suffixes, token_files, topk, warc
+from . import bpe, decontaminate, lengths, quality, simhash, substrings, suffixes, token_files, topk, warc
 
 QUERIES = {
     "op1_token_files": token_files.op1_token_files,
     "op2_quality": quality.op2_quality,
     "op3_bpe": bpe.op3_bpe,
     "op4_suffix_dedup": suffixes.op4_suffix_dedup,
+    "op5_token_counts": lengths.op5_token_counts,
     "op6_simhash": simhash.op6_simhash,
     "op7_warc": warc.op7_warc,
     "op8_decontamination": decontaminate.op8_decontamination,

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from scriptorium.llm import _common, bpe, decontaminate, quality, simhash, substrings, suffixes, token_files, topk, warc  # noqa: E402
+from scriptorium.llm import _common, bpe, decontaminate, lengths, quality, simhash, substrings, suffixes, token_files, topk, warc  # noqa: E402
 
 
 def table():
@@ -87,6 +87,18 @@ def test_bpe(spark, docs, empty):
         assert np.frombuffer(c.encode(s), "<u4").tolist() == tok.encode(s, add_special_tokens=False).ids
 
 
+def test_lengths(docs, empty):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    n = sorted(len(tok.encode(t or "", add_special_tokens=False).ids) for _, t in table())
+    hist = lengths.histogram(docs, path)
+    want = [(x, n.count(x), sum(y >= x for y in n), sum(y for y in n if y >= x), sum(min(x, y) for y in n)) for x in set(n)]
+    assert rows(hist) == sorted(want)
+    assert lengths.truncated_total(hist, 17) == sum(min(17, x) for x in n)
+    assert [lengths.quantile(hist, q) for q in (0.1, 0.5, 1.0)] == [n[max(0, -(-len(n) * k // 10) - 1)] for k in (1, 5, 10)]
+    assert lengths.histogram(empty, path).count() == 0 and lengths.quantile(lengths.histogram(empty, path), 0.5) is None
+
+
 def test_suffixes(docs, empty):
     got = suffixes.remove_repeats(docs)
     assert {"unit", "data"} <= set(got.columns)
