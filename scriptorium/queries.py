@@ -514,7 +514,7 @@ def problem_type(t):
 
 
 @query(rf"""with d as (select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') s from documents), a as (select doc_id, s, regexp_extract_all(s, '(?im)(?:therefore|thus|hence|so)(?:[^\pL\pN_\n][^\n]*)?$') c, list_filter(list_transform(string_split(s, chr(10)), lambda x: trim(x)), lambda x: x <> '') n from d)
-select doc_id, case when s = '' then '' else '\[' || chr(10) || trim(coalesce(c[-1], left(n[-1], 300))) || chr(10) || '\]' end answer from a""")
+select doc_id, case when s = '' then '' else '\[' || chr(10) || coalesce(trim(c[-1]), left(n[-1], 300)) || chr(10) || '\]' end answer from a""")
 def direct_answer(t):
     plain = F.regexp_replace("text", r"\\\[", "(")
     return t("documents").select("doc_id", R.direct_answer(F.lit(R.VALUE), plain).alias("answer"))
