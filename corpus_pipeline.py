@@ -75,7 +75,7 @@ STAGES = [
     ("benchmark decontamination", decontamination_stage),
     ("BPE encoding and decoding", encoding_stage),
 ]
-#: Stages that search, learn or tokenise have no SQL; tests hold run() against a brute-force version.
+#: Stages that search, learn or tokenise have no SQL. The operators are tested against brute force; run() as a whole is not yet.
 ORACLE_SQL = None
 
 
