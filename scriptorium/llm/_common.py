@@ -8,9 +8,12 @@ executors and repeated tasks leave no half-read file behind.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +110,42 @@ def null_id(col: str = "doc_id"):
     return F.nullif(F.col(col), F.lit(NULL_ID)).alias(col)
 
 
+#: Of a worker process: what empties a cache, and the modules whose functions use it.
+_caches: list[tuple[Callable[[], None], frozenset[str]]] = []
+
+
+def register_cache(clear: Callable[[], None], *users: str) -> None:
+    """A cache that outlives tasks. It stays while a worker runs functions of the users (module names) and goes when others run there."""
+    _caches.append((clear, frozenset(users)))
+
+
+def give_back() -> None:
+    """Return freed memory to the system; allocators keep it otherwise, and executors keep idle workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(f: Callable) -> Callable:
+    """f for mapInArrow, in workers that operators share: caches that f's module doesn't use go first, freed memory goes back after."""
+    user = f.__module__.rpartition(".")[2]
+
+    def run(batches):
+        for clear, users in _caches:
+            if user not in users:
+                clear()
+        try:
+            yield from f(batches)
+        finally:
+            give_back()
+
+    run.__module__ = f.__module__
+    return run
+
+
 def exchange_parts(spark: SparkSession) -> int:
     """Buckets of an exchange: the session's shuffle partitions, which the cluster sizes to its data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, exchange_parts, get_table, put_table, units, write_once
+from ._common import NULL_ID, exchange_parts, get_table, give_back, put_table, tidy, units, write_once
 
 UNIT_BYTES = 12 << 20
 #: An anchor of more units than this is hot: its data is dealt out by finer content.
@@ -85,6 +85,7 @@ def stage(docs: DataFrame, id_col: str, text_col: str, out: str, anchors: Callab
             to = ((h >> LOW) % np.uint64(parts)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             h, cuts = h[order], np.searchsorted(to[order], np.arange(parts + 1))
+            give_back()
             some = [p for p in range(parts) if cuts[p] < cuts[p + 1]]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([*some, zlib.crc32(path.encode()) % parts], pa.int32()), pa.array([path] * (len(some) + 1)), pa.array([*(h[cuts[p] : cuts[p + 1]].tobytes() for p in some), None], pa.binary())], ["bucket", "unit", "data"]
@@ -114,8 +115,8 @@ def stage(docs: DataFrame, id_col: str, text_col: str, out: str, anchors: Callab
                     at = at[ok]
                     yield pa.RecordBatch.from_arrays([pa.array([r[1]]), pa.array([np.where(hot[at], values[at], values[at] ^ LOW).tobytes()], pa.binary())], ["unit", "data"])
 
-    sent = rows.mapInArrow(send, "bucket int, unit string, data binary").repartition(parts, "bucket").sortWithinPartitions("bucket", "unit")
-    return write_once(sent.mapInArrow(find, "unit string, data binary"), f"{out}/candidates")
+    sent = rows.mapInArrow(tidy(send), "bucket int, unit string, data binary").repartition(parts, "bucket").sortWithinPartitions("bucket", "unit")
+    return write_once(sent.mapInArrow(tidy(find), "unit string, data binary"), f"{out}/candidates")
 
 
 def meet(kept: DataFrame, out: str, send: Callable[[str, pa.Table, np.ndarray, int], Iterator[tuple[int, bytes]]], answer: Callable[[list[tuple[str, bytes]]], Iterator[tuple[str, bytes]]]) -> DataFrame:
@@ -139,8 +140,8 @@ def meet(kept: DataFrame, out: str, send: Callable[[str, pa.Table, np.ndarray, i
                 yield pa.RecordBatch.from_arrays([pa.array([unit]), pa.array([data], pa.binary())], ["unit", "data"])
 
     units_ = kept.repartition(parts, "unit").sortWithinPartitions("unit")
-    sent = units_.mapInArrow(sending, "bucket int, unit string, data binary").repartition(parts, "bucket").sortWithinPartitions("bucket", "unit")
-    return write_once(sent.mapInArrow(answering, "unit string, data binary"), f"{out}/answers")
+    sent = units_.mapInArrow(tidy(sending), "bucket int, unit string, data binary").repartition(parts, "bucket").sortWithinPartitions("bucket", "unit")
+    return write_once(sent.mapInArrow(tidy(answering), "unit string, data binary"), f"{out}/answers")
 
 
 def finish(answers: DataFrame, docs: DataFrame, text_col: str, extra: str, edit: Callable, binary: bool = False) -> DataFrame:
@@ -165,4 +166,4 @@ def finish(answers: DataFrame, docs: DataFrame, text_col: str, extra: str, edit:
             yield from t.to_batches(max_chunksize=2048)
 
     docs_cols = docs.columns
-    return answers.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, schema)
+    return answers.repartition("unit").sortWithinPartitions("unit").mapInArrow(tidy(run), schema)

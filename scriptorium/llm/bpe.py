@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ._common import id_text, null_id
+from ._common import id_text, null_id, register_cache, tidy
 
 SHORT = 256
 #: The byte-level pre-tokenizer's pattern.
@@ -152,6 +152,7 @@ class ByteBPE:
 
 
 _codecs: dict[str, ByteBPE] = {}
+register_cache(_codecs.clear, "bpe", "lengths")
 
 
 def codec(path: str) -> ByteBPE:
@@ -171,7 +172,7 @@ def encode(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
                 ids = [np.frombuffer(c.encode(t.decode()), "<i4") for t in p.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([p.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>").select(null_id(), "ids")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, ids array<int>").select(null_id(), "ids")
 
 
 def decode(encoded: DataFrame, tokenizer: str, *, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -183,7 +184,7 @@ def decode(encoded: DataFrame, tokenizer: str, *, id_col: str = "doc_id", ids_co
             out = [None if x is None else c.decode(np.asarray(x, "<i8")).decode() for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["doc_id", "text"])
 
-    return encoded.select(encoded[id_col].cast("long").alias("doc_id"), encoded[ids_col].cast("array<long>").alias("ids")).mapInArrow(run, "doc_id long, text string")
+    return encoded.select(encoded[id_col].cast("long").alias("doc_id"), encoded[ids_col].cast("array<long>").alias("ids")).mapInArrow(tidy(run), "doc_id long, text string")
 
 
 def digest(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,7 +202,7 @@ def digest(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([p.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(d)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return id_text(docs, id_col, text_col).mapInArrow(run, schema).select(null_id(), "n_tokens", "ids_sha256", "decoded_sha256")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), schema).select(null_id(), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def op3_bpe(spark, sf_dir: str) -> DataFrame:

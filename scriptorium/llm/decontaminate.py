@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_text, null_id, units, work_dir
+from ._common import id_text, null_id, tidy, units, work_dir
 
 WIDTH = 10
 SHARD_BYTES = 24 << 20
@@ -134,7 +134,7 @@ def build_index(docs: DataFrame, out: str, *, id_col: str = "doc_id", text_col:
             row = Shard.build(ids, texts)
             yield pa.RecordBatch.from_arrays([pa.array([row[k]], pa.binary()) for k in Shard.fields], list(Shard.fields))
 
-    df = id_text(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{k} binary" for k in Shard.fields))
+    df = id_text(docs, id_col, text_col).mapInArrow(tidy(run), ", ".join(f"{k} binary" for k in Shard.fields))
     df.write.option("parquet.block.size", 64 << 20).option("compression", "uncompressed").parquet(out)
     return docs.sparkSession.read.schema(df.schema).parquet(out)
 
@@ -196,7 +196,7 @@ def match(index: DataFrame, block: list[tuple[str, bytes]], width: int = WIDTH)
                         ["doc_id", "n_words", "spans", "items"],
                     )
 
-    return index.mapInArrow(run, SCHEMA)
+    return index.mapInArrow(tidy(run), SCHEMA)
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -248,12 +248,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH,
                 spans.append((merged(x) if len(x) else x).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), pa.array(spans, pa.binary()), b.column("items")], ["doc_id", "n_words", "spans", "items"])
 
-    return joined.drop("row").mapInArrow(fold, SCHEMA)
+    return joined.drop("row").mapInArrow(tidy(fold), SCHEMA)
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
     docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     found = contamination(docs, benchmark)
-    return found.mapInArrow(_digest, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean").select(
+    return found.mapInArrow(tidy(_digest), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean").select(
         null_id(), "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )

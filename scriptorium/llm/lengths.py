@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import id_text
+from ._common import id_text, tidy
 from .bpe import codec
 
 
@@ -26,7 +26,7 @@ def histogram(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_c
             for at in range(0, b.num_rows, 1024):
                 yield pa.RecordBatch.from_arrays([pa.array([len(c.encode(t.decode())) // 4 for t in b.slice(at, 1024).column(0).to_pylist()], pa.int64())], ["length"])
 
-    rows = id_text(docs, id_col, text_col).select("text").mapInArrow(count, "length long").groupBy("length").agg(F.count("*").alias("docs"))
+    rows = id_text(docs, id_col, text_col).select("text").mapInArrow(tidy(count), "length long").groupBy("length").agg(F.count("*").alias("docs"))
     after, before = Window.orderBy(F.desc("length")), Window.orderBy("length").rowsBetween(Window.unboundedPreceding, -1)
     own = F.col("length") * F.col("docs")
     sums = rows.select("length", "docs", F.sum("docs").over(after).alias("docs_at_least"), F.sum(own).over(after).alias("tokens_at_least"), F.coalesce(F.sum(own).over(before), F.lit(0)).alias("_shorter"))

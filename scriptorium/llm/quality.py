@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_text, null_id, work_dir, write_once
+from ._common import id_text, null_id, tidy, work_dir, write_once
 
 THRESHOLD = 0.3
 RIDGES = (1e-1, 1e-2, 1e-3)
@@ -66,7 +66,7 @@ def feature_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 p = b.slice(at, 1024)
                 yield pa.RecordBatch.from_arrays([p.column(0), pa.array([features(t).tobytes() for t in p.column(1).to_pylist()], pa.binary())], ["doc_id", "f"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, f binary")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, f binary")
 
 
 def _matrix(col: pa.Array) -> np.ndarray:
@@ -93,7 +93,7 @@ def _total(df: DataFrame, one) -> np.ndarray:
         if not isinstance(total, int):
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["s"])
 
-    parts = df.mapInArrow(partial, "k long, s binary").repartition(MERGERS, "k").mapInArrow(merge, "s binary")
+    parts = df.mapInArrow(tidy(partial), "k long, s binary").repartition(MERGERS, "k").mapInArrow(tidy(merge), "s binary")
     return sum((np.frombuffer(r["s"]) for r in parts.collect()), 0)
 
 
@@ -191,7 +191,7 @@ def classify(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores(model, _matrix(b.column("f"))))], ["doc_id", "score"])
 
-    out = table.mapInArrow(score, "doc_id long, score double").select(null_id(), "score")
+    out = table.mapInArrow(tidy(score), "doc_id long, score double").select(null_id(), "score")
     return out.select("doc_id", F.coalesce(held(F.col("doc_id").cast("string")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
@@ -207,7 +207,7 @@ def accepted(docs: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD
                 f = np.stack([features(t or b"") for t in text]).astype(np.float64)
                 yield p.filter(pa.array(scores(model, f) >= threshold))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)
 
 
 def op2_quality(spark, sf_dir: str) -> DataFrame:

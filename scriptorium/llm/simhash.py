@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, id_text, null_id, work_dir, write_once
+from ._common import NULL_ID, id_text, null_id, tidy, work_dir, write_once
 from .components import components
 
 #: Fixed value: the Golay code's generator polynomial.
@@ -116,7 +116,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                 fp = np.array([fingerprint(t, shingle, seed) for t in p.column(1).to_pylist()], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([p.column(0), pa.array(fp)], ["doc_id", "fp"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return id_text(docs, id_col, text_col).mapInArrow(tidy(run), "doc_id long, fp long")
 
 
 def _group_links(fp: np.ndarray, node: np.ndarray, radius: int):
@@ -182,8 +182,8 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
             uv = np.unique(np.stack((np.maximum(u, v), np.minimum(u, v)), axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(uv[:, 0]), pa.array(uv[:, 1])], ["u", "v"])
 
-    keyed = nodes.select("fps", "node").mapInArrow(spread, "key long, fp long, node long")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(verify, "u long, v long")
+    keyed = nodes.select("fps", "node").mapInArrow(tidy(spread), "key long, fp long, node long")
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(verify), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, seed: int = 42, radius: int = RADIUS) -> DataFrame:
@@ -240,7 +240,7 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 whole, fps = zip(*(_word_prints(t, seeds) for t in p.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([p.column(0), pa.array(whole, pa.int64()), pa.array(fps, pa.list_(pa.int64()))], ["doc_id", "whole", "fps"])
 
-    marks = write_once(source.mapInArrow(mark, "doc_id long, whole long, fps array<long>"), f"{uri}/marks")
+    marks = write_once(source.mapInArrow(tidy(mark), "doc_id long, whole long, fps array<long>"), f"{uri}/marks")
     nodes = write_once(marks.groupBy("whole").agg(F.min("doc_id").alias("node"), F.min("fps").alias("fps")), f"{uri}/nodes")
     near = write_once(links(nodes).distinct(), f"{uri}/near")
     ends = near.select(F.col("u").alias("doc_id")).union(near.select("v")).distinct()
@@ -251,7 +251,7 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 p = b.slice(at, 512)
                 yield pa.RecordBatch.from_arrays([p.column(0), pa.array([shingle_set(t, shingle).tobytes() for t in p.column(1).to_pylist()], pa.binary())], ["node", "s"])
 
-    sets_ = source.join(ends, "doc_id", "left_semi").mapInArrow(sets, "node long, s binary").groupBy("node").agg(F.min("s").alias("s"))
+    sets_ = source.join(ends, "doc_id", "left_semi").mapInArrow(tidy(sets), "node long, s binary").groupBy("node").agg(F.min("s").alias("s"))
     sets_ = write_once(sets_, f"{uri}/sets")
 
     def verify(batches):
@@ -264,7 +264,7 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
     paired = near.join(sets_.select(F.col("node").alias("u"), F.col("s").alias("su")), "u").join(sets_.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v")
-    root = components(paired.select("u", "v", "su", "sv").mapInArrow(verify, "u long, v long"), f"{uri}/components")
+    root = components(paired.select("u", "v", "su", "sv").mapInArrow(tidy(verify), "u long, v long"), f"{uri}/components")
     group = nodes.join(root, nodes["node"] == root["u"], "left").select("whole", F.coalesce("root", "node").alias("component_id"))
     return marks.join(group, "whole").select(null_id(), null_id("component_id"))
 

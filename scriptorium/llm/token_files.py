@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fs_of, id_text, null_id, put_file, work_dir, write_once
+from ._common import fs_of, id_text, null_id, put_file, register_cache, tidy, work_dir, write_once
 
 FRAME_BYTES = 1 << 20
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1  # fixed values of the format
@@ -70,6 +70,7 @@ class Encoder:
 
 
 _encoders: dict[tuple, Encoder] = {}
+register_cache(_encoders.clear, "token_files")
 
 
 def encoder(path: str, local: bool) -> Encoder:
@@ -188,7 +189,7 @@ def write_shards(docs: DataFrame, tokenizer: str, out: str, *, end_id: int, id_c
         yield pa.RecordBatch.from_pydict({"shard": [ctx.partitionId()], "path": [path], "docs": [sums[0]], "ids": [sums[1]]})
 
     rows = id_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    made = write_once(rows.mapInArrow(write, "shard long, path string, docs long, ids long"), f"{out}/_made")
+    made = write_once(rows.mapInArrow(tidy(write), "shard long, path string, docs long, ids long"), f"{out}/_made")
     # One row for each shard of many MB.
     at, full = 0, []
     for r in sorted(made.collect()):
@@ -214,7 +215,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
     n = max(1, manifest.count())
     spread = manifest.repartition(n)
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long").select(null_id(), "start", "n_tokens", "ids_crc32")
+    return spread.mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long").select(null_id(), "start", "n_tokens", "ids_crc32")
 
 
 def read_documents(manifest: DataFrame, doc_ids: list[int]) -> DataFrame:
@@ -227,7 +228,7 @@ def read_documents(manifest: DataFrame, doc_ids: list[int]) -> DataFrame:
                 for k in r.rows(doc_ids):
                     yield pa.RecordBatch.from_arrays([pa.array([int(r.index["doc_id"][k])]), pa.array([r.ids(k).astype("i4")], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    return manifest.repartition(max(1, manifest.count())).mapInArrow(read, "doc_id long, ids array<int>")
+    return manifest.repartition(max(1, manifest.count())).mapInArrow(tidy(read), "doc_id long, ids array<int>")
 
 
 def op1_token_files(spark, sf_dir: str) -> DataFrame:

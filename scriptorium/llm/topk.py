@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, work_dir
+from ._common import NULL_ID, tidy, work_dir
 
 QUERY_BLOCK, ROW_BLOCK, DIM_BLOCK, PANEL = 4096, 4096, 16, 128
 
@@ -122,7 +122,7 @@ def exact_topk(rows: DataFrame, queries: DataFrame, k: int, *, id_col: str = "ve
             for d, own in best.items():
                 yield pa.RecordBatch.from_arrays([pa.array(sent.value[d][0][own.q]), pa.array(own.i), pa.array(own.s)], ["query_id", "vec_id", "score"])
 
-        near = source.mapInArrow(run, schema)
+        near = source.mapInArrow(tidy(run), schema)
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).write.parquet(f"{out}/page-{page:06d}")
         sent.destroy()

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, fs_of, put_file, work_dir, write_once
+from ._common import NULL_ID, fs_of, put_file, tidy, work_dir, write_once
 
 WARC, CDXJ = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Fixed values of the format.
@@ -179,7 +179,7 @@ def write_archives(pages: DataFrame, out: str, *, id_col: str = "page_id", url_c
             yield pa.RecordBatch.from_pydict({"path": [path], "records": [n[0]]})
             k += 1
 
-    return write_once(rows.mapInArrow(write, "path string, records long"), f"{out}/_made")
+    return write_once(rows.mapInArrow(tidy(write), "path string, records long"), f"{out}/_made")
 
 
 def read_archives(manifest: DataFrame, step: int = 2000) -> DataFrame:
@@ -209,7 +209,7 @@ def read_archives(manifest: DataFrame, step: int = 2000) -> DataFrame:
                     )
 
     schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
-    back = parts.repartition(max(1, parts.count())).mapInArrow(read, schema)
+    back = parts.repartition(max(1, parts.count())).mapInArrow(tidy(read), schema)
     null = lambda c: F.nullif(F.col(c), F.lit(NULL_ID)).alias(c)
     return back.select(null("page_id"), "payload_bytes", "payload_digest", "record_type", null("refers_to"), "url")
 
