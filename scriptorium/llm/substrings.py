@@ -34,6 +34,12 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def least_in_windows(h: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first smallest value in each window; in blocks, since argmin copies its windows."""
+    views = np.lib.stride_tricks.sliding_window_view(h, width)
+    return np.concatenate([views[at : at + 65536].argmin(axis=1) + np.arange(at, min(at + 65536, len(views))) for at in range(0, len(views), 65536)])
+
+
 class Segments:
     """Words of a unit's documents and their windows by minimizer."""
 
@@ -56,7 +62,7 @@ class Segments:
         for k in range(1, gram):
             h = h * _MULTIPLY + one[k : n - gram + 1 + k]
         h = _mix(h)
-        low = np.lib.stride_tricks.sliding_window_view(h, width - gram + 1).argmin(axis=1) + np.arange(n - width + 1)
+        low = least_in_windows(h, width - gram + 1)
         doc = np.repeat(np.arange(len(counts)), self.counts)[: len(low)]
         at = np.flatnonzero(np.arange(len(low)) + width <= self.starts[doc + 1])  # windows inside a document
         if not len(at):
