@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 #: Stands for a null id inside the operators; results show null again.
 NULL_ID = (1 << 63) - 1
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _made: list[str] = []
 
 
@@ -40,6 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, empty folder for one run of an operator."""
+    small_batches(spark)
     uri = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
     fs, path = fs_of(uri)
     fs.create_dir(path, recursive=True)
@@ -98,8 +101,15 @@ def get_table(uri: str) -> pa.Table:
     return pa.ipc.open_file(pa.BufferReader(get_bytes(uri))).read_all()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches between JVM and workers hold at most BATCH_BYTES or one row, unless the session says otherwise; long texts fill memory else."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The columns doc_id (null: NULL_ID) and text (null: empty, as bytes)."""
+    small_batches(docs.sparkSession)
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
