@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ._common import id_text, null_id, tidy, units, work_dir
 
 WIDTH = 10
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 ITEM_BLOCK_BYTES = 16 << 20
 GAP = 1 << 12  # free positions between documents, over any slop or window
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b > 0x7F else 0x20 for b in range(256))
