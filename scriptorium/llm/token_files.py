@@ -61,7 +61,7 @@ class Encoder:
         new = set().union(*chunks).difference(known)
         # A chunk that ends in one full stop or comma after an ASCII letter is that word and that mark.
         cut = {c for c in new if c[-1:] in b".," and c[-2:-1].isalpha()}
-        words = list((new - cut) | {c[:-1] for c in cut if c[:-1] not in known} | ({b".", b","} - known.keys()))
+        words = list((new - cut) | {c[:-1] for c in cut if c[:-1] not in known} | {m for m in (b".", b",") if m not in known})
         known.update(zip(words, self._library([w.decode() for w in words])))
         for c in cut:
             known[c] = known[c[:-1]] + known[c[-1:]]
