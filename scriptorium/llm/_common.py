@@ -161,9 +161,16 @@ def exchange_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let executors delete the shuffle files of jobs that no plan needs any more; else they stay until the driver happens to collect garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def write_once(df: DataFrame, uri: str) -> DataFrame:
-    """Cut the lineage with a written table, so that side effects in df run in one job only."""
+    """Cut the lineage with a written table, so that side effects in df run in one job only, and drop the shuffles behind it."""
     df.write.mode("overwrite").parquet(uri)
+    drop_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(uri)
 
 
