@@ -199,10 +199,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return out.select(null_id(), "fingerprint", null_id("component_id"))
 
 
+def _whole(w: list[bytes]) -> int:
+    """A hash of the words in order."""
+    return xxhash.xxh3_64_intdigest(b" ".join(w)) - (1 << 63)
+
+
 def _word_prints(text: bytes, seeds: int) -> tuple[int, list[int]]:
     """A hash of the lower-cased words in order, and SimHashes over the distinct words, one for each seed."""
     w = text.lower().split()
-    whole = xxhash.xxh3_64_intdigest(b" ".join(w)) - (1 << 63)
+    whole = _whole(w)
     if not w:
         return whole, [0] * seeds
     h = np.fromiter(map(xxhash.xxh64_intdigest, set(w)), np.uint64)
@@ -223,12 +228,106 @@ def shingle_set(text: bytes, shingle: int) -> np.ndarray:
     return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64))
 
 
+def share(n, similarity: float):
+    """Least number of common members of two sets of n members in all at the similarity."""
+    return np.ceil(n * similarity / (1 + similarity) - 1e-9).astype(np.int64)
+
+
+def prefix(s: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
+    """The first members of a sorted set, those in common last: two sets at the similarity share one of them, whatever common holds."""
+    last = np.isin(s, common)
+    return np.concatenate((s[~last], s[last]))[: len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1]
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """Parity of the members by their low bits, in about one bit for each: sets differ in at least as many members as sketches do in bits."""
+    n = 1 << max(6, int(len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1, bitorder="little").astype(np.uint8).tobytes()
+
+
+def _differ(x: np.ndarray, y: np.ndarray) -> int:
+    """Differing bits of two sketches, the longer folded to the shorter."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
+def _may(n, m, i, j, similarity: float):
+    """Whether sets of n and m members whose first common one is at places i and j can reach the similarity."""
+    return (similarity * np.maximum(n, m) <= np.minimum(n, m) + 1e-9) & (1 + np.minimum(n - i, m - j) - 1 >= share(n + m, similarity))
+
+
+def pairs_in(keys: np.ndarray, node: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float):
+    """(u, v) of all pairs with equal keys that can reach the similarity; rows come sorted by key."""
+    heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    size = np.repeat(sizes := np.diff(np.append(heads, len(keys))), sizes)
+    i = np.flatnonzero(size > 1)
+    for d in range(1, int(size.max(initial=1))):
+        i = i[i + d < len(keys)]
+        i = i[keys[i] == keys[i + d]]
+        k = i[_may(n[i], n[i + d], at[i], at[i + d], similarity) & (node[i] != node[i + d])]
+        if len(k):
+            yield node[k], node[k + d]
+
+
+def shared_members(source: DataFrame, shingle: int, least: int = 4, most: int = 200_000) -> np.ndarray:
+    """Shingles that are common in a sixteenth of the texts. They only order prefixes, so that a list that lacks some loses no pair."""
+
+    def run(batches):
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, shingle).view(np.int64))], ["m"])
+
+    found = source.where("pmod(xxhash64(text), 16) = 0").select("text").mapInArrow(tidy(run), "m long").groupBy("m").count()
+    found = found.where(F.col("count") >= least).orderBy(F.desc("count"), "m").limit(most).select("m").toArrow()
+    return np.sort(np.asarray(found.column("m").combine_chunks()).view(np.uint64))
+
+
+def close_pairs(source: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(doc_id, text) → (u, v) of texts, by the hash of their words, among which are all pairs at the similarity."""
+    common = shared_members(source, shingle)
+
+    def spread(batches):
+        seen = set()
+        for b in batches:
+            for at in range(0, b.num_rows, 512):
+                out = []
+                for t in b.column(1).slice(at, 512).to_pylist():
+                    w = _whole(t.lower().split())
+                    if w not in seen:
+                        seen.add(w)
+                        s = shingle_set(t, shingle)
+                        p = prefix(s, common, similarity)
+                        out.append((p.view(np.int64), np.full(len(p), w), np.full(len(p), len(s), np.int32), np.arange(len(p), dtype=np.int32)))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["key", "node", "n", "at"])
+
+    def meet(batches):
+        kept = None
+        for b in batches:
+            now = [np.asarray(c) for c in b.columns]
+            now = now if kept is None else [np.concatenate(x) for x in zip(kept, now)]
+            cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
+            kept = [x[cut:] for x in now]
+            yield from emit([x[:cut] for x in now])
+        if kept is not None:
+            yield from emit(kept)
+
+    def emit(rows):
+        if len(rows[0]) < 2:
+            return
+        for u, v in pairs_in(*rows, similarity):
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+
+    keyed = source.select("doc_id", "text").mapInArrow(tidy(spread), "key long, node long, n int, at int")
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(meet), "u long, v long")
+
+
 def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seeds: int = 4) -> DataFrame:
-    """Per document: doc_id, component_id over links of texts whose shingle sets reach the Jaccard similarity.
+    """Per row: doc_id, component_id (smallest id of the group) over links of texts whose shingle sets reach the Jaccard similarity.
 
-    Candidates come from SimHashes over the distinct words, one for each seed, within three bits by the same keys; words
-    move far less than shingles do under an edit, so three bits reach down to the similarity asked for. Every candidate link is
-    verified on the sets of word shingles. Texts of equal words are one node; rows of one id count as one document.
+    Candidates come from SimHashes over the distinct words, one for each seed, within three bits by the same keys, and from a
+    join on prefixes of the shingle sets, which misses no pair at the similarity. Every candidate link is verified on the
+    sets of word shingles, after a comparison of their sketches. Texts of equal words are one node.
     """
     spark, uri = docs.sparkSession, work_dir(docs.sparkSession, "similar")
     source = id_text(docs, id_col, text_col)
@@ -241,31 +340,46 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([p.column(0), pa.array(whole, pa.int64()), pa.array(fps, pa.list_(pa.int64()))], ["doc_id", "whole", "fps"])
 
     marks = write_once(source.mapInArrow(tidy(mark), "doc_id long, whole long, fps array<long>"), f"{uri}/marks")
-    nodes = write_once(marks.groupBy("whole").agg(F.min("doc_id").alias("node"), F.min("fps").alias("fps")), f"{uri}/nodes")
-    near = write_once(links(nodes).distinct(), f"{uri}/near")
-    ends = near.select(F.col("u").alias("doc_id")).union(near.select("v")).distinct()
+    nodes = marks.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.min("fps").alias("fps"))
+    nodes = write_once(nodes.select(F.col("whole").alias("node"), "doc_id", "fps"), f"{uri}/nodes")
+    write_once(links(nodes), f"{uri}/near/by=bits")
+    write_once(close_pairs(source, shingle, similarity), f"{uri}/near/by=prefix")
+    near = write_once(spark.read.schema("u long, v long").parquet(f"{uri}/near/by=bits", f"{uri}/near/by=prefix").distinct(), f"{uri}/pairs")
+    ends = near.select(F.col("u").alias("node")).union(near.select("v")).distinct()
 
     def sets(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
-                p = b.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([p.column(0), pa.array([shingle_set(t, shingle).tobytes() for t in p.column(1).to_pylist()], pa.binary())], ["node", "s"])
+                texts = b.column(1).slice(at, 512).to_pylist()
+                s = [shingle_set(t, shingle) for t in texts]
+                yield pa.RecordBatch.from_arrays([pa.array([_whole(t.lower().split()) for t in texts]), pa.array([len(x) for x in s]), pa.array([sketch(x) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], ["node", "n", "k", "s"])
 
-    sets_ = source.join(ends, "doc_id", "left_semi").mapInArrow(tidy(sets), "node long, s binary").groupBy("node").agg(F.min("s").alias("s"))
-    sets_ = write_once(sets_, f"{uri}/sets")
+    sets_ = source.join(nodes.join(ends, "node", "left_semi").select("doc_id").distinct(), "doc_id", "left_semi")
+    sets_ = write_once(sets_.mapInArrow(tidy(sets), "node long, n long, k binary, s binary").dropDuplicates(["node"]), f"{uri}/sets")
+
+    def screen(batches):
+        for b in batches:
+            n, m = np.asarray(b.column("n")), np.asarray(b.column("m"))
+            may = np.array([_differ(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) for x, y in zip(b.column("k"), b.column("l"))], np.int64) <= n + m - 2 * share(n + m, similarity)
+            yield b.select(["u", "v"]).filter(pa.array(may))
 
     def verify(batches):
         for b in batches:
             ok = []
-            for x, y in zip(b.column("su"), b.column("sv")):
+            for x, y in zip(b.column("k"), b.column("l")):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if similarity * max(len(x), len(y)) <= min(len(x), len(y)) else 0
+                both = len(np.intersect1d(x, y, assume_unique=True)) if similarity * max(len(x), len(y)) <= min(len(x), len(y)) + 1e-9 else 0
                 ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column("u"), b.column("v")], ["u", "v"]).filter(pa.array(ok, pa.bool_()))
+            yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
+
+    def passing(pairs, f, col):
+        u, v = (sets_.select(F.col("node").alias(e), F.col("n").alias(a), F.col(col).alias(b)) for e, a, b in (("u", "n", "k"), ("v", "m", "l")))
+        return pairs.join(u, "u").join(v, "v").select("u", "v", "n", "m", "k", "l").mapInArrow(tidy(f), "u long, v long")
 
-    paired = near.join(sets_.select(F.col("node").alias("u"), F.col("s").alias("su")), "u").join(sets_.select(F.col("node").alias("v"), F.col("s").alias("sv")), "v")
-    root = components(paired.select("u", "v", "su", "sv").mapInArrow(tidy(verify), "u long, v long"), f"{uri}/components")
-    group = nodes.join(root, nodes["node"] == root["u"], "left").select("whole", F.coalesce("root", "node").alias("component_id"))
+    kept = write_once(passing(near, screen, "k"), f"{uri}/screened")
+    root = components(passing(kept, verify, "s"), f"{uri}/components")
+    group = nodes.join(root, nodes["node"] == root["u"], "left").select(F.col("node").alias("whole"), "doc_id", F.coalesce("root", "node").alias("root"))
+    group = group.join(group.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("whole", "component_id")
     return marks.join(group, "whole").select(null_id(), null_id("component_id"))
 
 

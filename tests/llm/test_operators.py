@@ -157,6 +157,57 @@ def test_similar(spark):
     assert rows(simhash.similar_documents(docs)) == [(2, 2), (5, 2), (7, 7), (8, 8), (9, 2)]
 
 
+def similar_groups(texts, least=0.8):
+    """Brute force: the smallest index of each text's group over all pairs of five-word shingle sets."""
+    words = [t.lower().split() for t in texts]
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in words]
+    group = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= least * len(a | sets[j]) - 1e-9:
+                x, y = sorted((group[i], group[j]))
+                group = [x if g == y else g for g in group]
+    return group
+
+
+def edited(rnd, n, share, kind, word):
+    """Words, and a copy with about the share of them appended, cut off or replaced."""
+    w, k = [word() for _ in range(n)], max(1, round(share * n))
+    if kind == "appended":
+        return w, w + [word() for _ in range(k)]
+    if kind == "cut":
+        return w, w[k:]
+    return w, [word() if x in set(rnd.sample(range(n), max(1, k // 5))) else y for x, y in enumerate(w)]
+
+
+def test_similar_is_complete(spark):
+    rnd, texts = random.Random(8), []
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    boiler = [word() for _ in range(60)]
+    for k in range(90):
+        a, b = edited(rnd, rnd.randint(30, 400), rnd.choice((0.05, 0.1, 0.15, 0.19, 0.24)), ("appended", "cut", "replaced")[k % 3], word)
+        texts += [" ".join(x + boiler * (k % 4 == 0)) for x in (a, b)]
+    want = similar_groups(texts)
+    assert 100 < len(set(want)) < 150
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    assert rows(simhash.similar_documents(docs)) == list(enumerate(want))
+
+
+def test_prefix_and_sketch():
+    rnd = np.random.default_rng(9)
+    for _ in range(300):
+        n = int(rnd.integers(1, 200))
+        x = np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64))
+        y = np.unique(np.concatenate((x[rnd.random(len(x)) < 0.9], rnd.integers(0, 1 << 63, n // 10, dtype=np.uint64))))
+        both = len(np.intersect1d(x, y))
+        common = rnd.choice(x, len(x) // 3)
+        p, q = (simhash.prefix(s, common, 0.8) for s in (x, y))
+        assert simhash._differ(*(np.frombuffer(simhash.sketch(s), np.uint8) for s in (x, y))) <= len(x) + len(y) - 2 * both
+        if both >= 0.8 * (len(x) + len(y) - both):
+            i = next(k for k, m in enumerate(p) if m in q)
+            assert simhash._may(len(x), len(y), i, q.tolist().index(p[i]), 0.8)
+
+
 def test_warc(spark):
     pages = [(1, "http://a/é x", "same"), (2, None, "same"), (3, "u", ""), (4, "u", None), (5, "v", "own\r\n\r\nbody é")]
     made = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), _common.work_dir(spark, "w"))
