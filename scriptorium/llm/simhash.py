@@ -256,8 +256,91 @@ def _may(n, m, i, j, similarity: float):
     return (similarity * np.maximum(n, m) <= np.minimum(n, m) + 1e-9) & (1 + np.minimum(n - i, m - j) - 1 >= share(n + m, similarity))
 
 
+class Sketches:
+    """Rows of one key: nodes, members of their sets, places of the key and sketches."""
+
+    def __init__(self, node: np.ndarray, n: np.ndarray, at: np.ndarray, sketches: list, similarity: float):
+        self.node, self.n, self.at, self.similarity = node, n.astype(np.int64), at.astype(np.int64), similarity
+        self.width = np.array([len(k) for k in sketches])
+        self.place, self.rows, self.half = np.zeros(len(node), np.int64), {}, {}
+        for w in np.unique(self.width).tolist():
+            pick = np.flatnonzero(self.width == w)
+            self.place[pick] = np.arange(len(pick))
+            self.rows[w] = np.frombuffer(b"".join(sketches[i] for i in pick), np.uint8).reshape(-1, w)
+            self.half[w] = self.rows[w][:, : w // 2] ^ self.rows[w][:, w // 2 :]
+
+    def may(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Of the rows j those that can be similar to row i; sets of similar sizes have sketches of one width or twice that."""
+        n, m = self.n[i], self.n[j]
+        j = j[_may(n, m, self.at[i], self.at[j], self.similarity)]
+        bits, w = np.full(len(j), 1 << 40), int(self.width[i])
+        for width, one, many in ((w, self.rows[w], self.rows), (w * 2, self.rows[w], self.half), (w // 2, self.half[w], self.rows)):
+            pick = np.flatnonzero(self.width[j] == width)
+            if len(pick):
+                bits[pick] = np.bitwise_count(many[width][self.place[j[pick]]] ^ one[self.place[i]]).sum(axis=1, dtype=np.int64)
+        both = n + self.n[j]
+        return j[bits <= both - 2 * share(both, self.similarity)]
+
+    def search(self):
+        """Links enough to connect all that can be similar: a node found is compared only with those not found yet."""
+        left = np.arange(len(self.node))
+        while len(left):
+            todo, left = [left[0]], left[1:]
+            while todo and len(left):
+                i = todo.pop()
+                found = self.may(i, left)
+                if len(found):
+                    yield np.full(len(found), self.node[i]), self.node[found]
+                    todo.extend(found.tolist())
+                    left = np.setdiff1d(left, found, assume_unique=True)
+
+    def across(self, label: np.ndarray):
+        """All pairs of different labels that can be similar."""
+        for i in range(len(label) - 1) if (label != label[0]).any() else ():
+            found = self.may(i, i + 1 + np.flatnonzero(label[i + 1 :] != label[i]))
+            if len(found):
+                yield np.full(len(found), self.node[i]), self.node[found]
+
+
+def whole_keys(batches):
+    """Columns of rows sorted by their first column, in parts that end where its value does."""
+    kept = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cut = int(np.searchsorted(now := np.asarray(b.column(0)), now[-1]))
+        if cut or kept and kept[0].column(0)[0] != b.column(0)[0]:
+            yield pa.Table.from_batches([*kept, b.slice(0, cut)]).combine_chunks()
+            kept = []
+        kept.append(b.slice(cut))
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+def _linked(u: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+
+
+def large_links(members: DataFrame, similarity: float, across: bool) -> DataFrame:
+    """Rows of large groups (key, node, n, at, k, label) → (u, v) of a search in each group, or of all pairs across labels that can be similar."""
+
+    def run(batches):
+        for t in whole_keys(batches):
+            keys, node, n, at = (np.asarray(t.column(c).combine_chunks()) for c in ("key", "node", "n", "at"))
+            heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            for h, e in zip(heads, np.append(heads[1:], len(keys))):
+                g = Sketches(node[h:e], n[h:e], at[h:e], t.column("k").slice(h, e - h).to_pylist(), similarity)
+                for u, v in g.across(np.asarray(t.column("label").slice(h, e - h).combine_chunks())) if across else g.search():
+                    yield _linked(u, v)
+
+    rows = members.select("key", "node", "n", "at", "k", "label")
+    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidy(run), "u long, v long").distinct()
+
+
 def pairs_in(keys: np.ndarray, node: np.ndarray, n: np.ndarray, at: np.ndarray, similarity: float):
     """(u, v) of all pairs with equal keys that can reach the similarity; rows come sorted by key."""
+    if not len(keys):
+        return
     heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     size = np.repeat(sizes := np.diff(np.append(heads, len(keys))), sizes)
     i = np.flatnonzero(size > 1)
@@ -283,7 +366,10 @@ def shared_members(source: DataFrame, shingle: int, least: int = 4, most: int =
 
 
 def close_pairs(source: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(doc_id, text) → (u, v) of texts, by the hash of their words, among which are all pairs at the similarity."""
+    """(doc_id, text) → rows (key, u, v) of pairs of texts, by the hash of their words, and (key, u, n, at) of members of large groups.
+
+    All pairs at the similarity are among the pairs or within a large group.
+    """
     common = shared_members(source, shingle)
 
     def spread(batches):
@@ -302,24 +388,21 @@ def close_pairs(source: DataFrame, shingle: int, similarity: float) -> DataFrame
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["key", "node", "n", "at"])
 
     def meet(batches):
-        kept = None
-        for b in batches:
-            now = [np.asarray(c) for c in b.columns]
-            now = now if kept is None else [np.concatenate(x) for x in zip(kept, now)]
-            cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-            kept = [x[cut:] for x in now]
-            yield from emit([x[:cut] for x in now])
-        if kept is not None:
-            yield from emit(kept)
-
-    def emit(rows):
-        if len(rows[0]) < 2:
-            return
-        for u, v in pairs_in(*rows, similarity):
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(u, v)), pa.array(np.minimum(u, v))], ["u", "v"])
+        for t in whole_keys(batches):
+            rows = [np.asarray(c.combine_chunks()) for c in t.columns]
+            one = np.concatenate(([True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])))  # texts that several tasks met
+            rows = [c[one] for c in rows]
+            heads = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
+            size = np.repeat(sizes := np.diff(np.append(heads, len(rows[0]))), sizes)
+            for u, v in pairs_in(*(c[(size > 1) & (size <= PAIRWISE)] for c in rows), similarity):
+                none = pa.nulls(len(u), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(u), pa.int64()), *_linked(u, v).columns, none, none], ["key", "u", "v", "n", "at"])
+            if (large := size > PAIRWISE).any():
+                key, node, n, at = (pa.array(c[large]) for c in rows)
+                yield pa.RecordBatch.from_arrays([key, node, pa.nulls(len(key), pa.int64()), n, at], ["key", "u", "v", "n", "at"])
 
     keyed = source.select("doc_id", "text").mapInArrow(tidy(spread), "key long, node long, n int, at int")
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(meet), "u long, v long")
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidy(meet), "key long, u long, v long, n int, at int")
 
 
 def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seeds: int = 4) -> DataFrame:
@@ -327,7 +410,8 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     Candidates come from SimHashes over the distinct words, one for each seed, within three bits by the same keys, and from a
     join on prefixes of the shingle sets, which misses no pair at the similarity. Every candidate link is verified on the
-    sets of word shingles, after a comparison of their sketches. Texts of equal words are one node.
+    sets of word shingles, after a comparison of their sketches. Groups of over 32 texts under one shingle are searched, and
+    then all pairs across the verified groups are compared. Texts of equal words are one node.
     """
     spark, uri = docs.sparkSession, work_dir(docs.sparkSession, "similar")
     source = id_text(docs, id_col, text_col)
@@ -342,10 +426,10 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     marks = write_once(source.mapInArrow(tidy(mark), "doc_id long, whole long, fps array<long>"), f"{uri}/marks")
     nodes = marks.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.min("fps").alias("fps"))
     nodes = write_once(nodes.select(F.col("whole").alias("node"), "doc_id", "fps"), f"{uri}/nodes")
-    write_once(links(nodes), f"{uri}/near/by=bits")
-    write_once(close_pairs(source, shingle, similarity), f"{uri}/near/by=prefix")
-    near = write_once(spark.read.schema("u long, v long").parquet(f"{uri}/near/by=bits", f"{uri}/near/by=prefix").distinct(), f"{uri}/pairs")
-    ends = near.select(F.col("u").alias("node")).union(near.select("v")).distinct()
+    bits, met = write_once(links(nodes), f"{uri}/bits"), write_once(close_pairs(source, shingle, similarity), f"{uri}/met")
+    members = met.where("v is null").select("key", F.col("u").alias("node"), "n", "at")
+    near = write_once(bits.union(met.where("v is not null").select("u", "v")).distinct(), f"{uri}/pairs")
+    ends = near.select(F.col("u").alias("node")).union(near.select("v")).union(members.select("node")).distinct()
 
     def sets(batches):
         for b in batches:
@@ -376,8 +460,18 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
         u, v = (sets_.select(F.col("node").alias(e), F.col("n").alias(a), F.col(col).alias(b)) for e, a, b in (("u", "n", "k"), ("v", "m", "l")))
         return pairs.join(u, "u").join(v, "v").select("u", "v", "n", "m", "k", "l").mapInArrow(tidy(f), "u long, v long")
 
-    kept = write_once(passing(near, screen, "k"), f"{uri}/screened")
-    root = components(passing(kept, verify, "s"), f"{uri}/components")
+    def verified(pairs, name):
+        kept = write_once(passing(pairs, screen, "k"), f"{uri}/{name}-screened")
+        return write_once(passing(kept, verify, "s"), f"{uri}/{name}-links")
+
+    if members.isEmpty():
+        root = components(verified(near, "all"), f"{uri}/components")
+    else:  # a link of the search that fails leaves its ends in different groups, and all pairs across groups are compared then
+        members = members.join(sets_.select("node", "k"), "node")
+        found = verified(near.union(large_links(members.withColumn("label", F.col("node")), similarity, False)).distinct(), "first")
+        root = components(found, f"{uri}/first")
+        members = members.join(root.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("label", F.coalesce("root", "node"))
+        root = components(found.union(verified(large_links(members, similarity, True), "rest")), f"{uri}/components")
     group = nodes.join(root, nodes["node"] == root["u"], "left").select(F.col("node").alias("whole"), "doc_id", F.coalesce("root", "node").alias("root"))
     group = group.join(group.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("whole", "component_id")
     return marks.join(group, "whole").select(null_id(), null_id("component_id"))

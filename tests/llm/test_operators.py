@@ -193,6 +193,34 @@ def test_similar_is_complete(spark):
     assert rows(simhash.similar_documents(docs)) == list(enumerate(want))
 
 
+def test_family_of_versions(spark, monkeypatch):
+    """Pages of one vocabulary in other orders, each with an edit of it: failed links between pages hide none of the true ones."""
+    rnd = random.Random(10)
+    vocabulary, passage, texts = [f"w{k}" for k in range(120)], [f"p{k}" for k in range(300)], []
+    for _ in range(40):
+        page = rnd.sample(vocabulary, 120)
+        texts += [" ".join(page), " ".join([*page[:60], "edit", *page[61:]])]
+    for k in range(60):  # a chain of cuts, all over one passage, so that groups are large and their ends aren't similar
+        texts.append(" ".join(passage[k * 3 : 120 + k * 3]))
+    want = similar_groups(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    for limit in (simhash.PAIRWISE, 2):
+        monkeypatch.setattr(simhash, "PAIRWISE", limit)
+        assert rows(simhash.similar_documents(docs)) == list(enumerate(want))
+
+
+def test_large_group_search():
+    """A search over links that can fail leaves out true pairs; all pairs across labels bring them back."""
+    rnd = np.random.default_rng(11)
+    base = np.unique(rnd.integers(0, 1 << 63, 150, dtype=np.uint64))
+    s = [np.sort(np.concatenate((base[:110], rnd.choice(base[110:], int(rnd.integers(5, 35)), replace=False)))) for _ in range(50)]
+    n, at = np.array([len(x) for x in s]), np.zeros(50, np.int32)
+    g = simhash.Sketches(np.arange(50), n, at, [simhash.sketch(x) for x in s], 0.8)
+    true = {(i, j) for j in range(50) for i in range(j) if (b := len(np.intersect1d(s[i], s[j]))) >= 0.8 * (n[i] + n[j] - b)}
+    pairs = {(int(a), int(b)) for u, v in g.across(np.arange(50)) for a, b in zip(u, v)}
+    assert true <= pairs and sum(len(u) for u, _ in g.search()) < 50 and not list(g.across(np.zeros(50)))
+
+
 def test_prefix_and_sketch():
     rnd = np.random.default_rng(9)
     for _ in range(300):
