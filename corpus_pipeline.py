@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm import _common, bpe, decontaminate, quality, simhash, substrings
 
+ROW = "_row"
 _last: list[str] = []
 
 
@@ -37,9 +38,12 @@ def quality_stage(spark, docs, sf_dir):
 
 @_stage
 def near_dedup_stage(spark, docs, sf_dir):
-    """Of each group of similar documents the one with the smallest id stays."""
-    group = simhash.similar_documents(docs)
-    return _without(docs, group.where(~F.col("component_id").eqNullSafe(F.col("doc_id"))))
+    """Of each group of similar documents one row stays, of the smallest id; rows without an id come last."""
+    docs = _keyed(docs)
+    group = simhash.similar_documents(docs, id_col=ROW).select(F.col("doc_id").alias(ROW), "component_id")
+    rows = group.join(docs.select(ROW, F.col("doc_id").alias("_id")), ROW)
+    first = rows.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull(), "_id", ROW))[ROW].alias(ROW))
+    return _without(docs, group.join(first, ROW, "left_anti"))
 
 
 @_stage
@@ -52,8 +56,9 @@ def substring_stage(spark, docs, sf_dir):
 @_stage
 def decontamination_stage(spark, docs, sf_dir):
     """Documents that hold a window of a benchmark item go."""
-    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.where(F.size("items") > 0).select(_common.null_id()))
+    docs = _keyed(docs)
+    found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=ROW)
+    return _without(docs, found.where(F.size("items") > 0).select(F.col("doc_id").alias(ROW)))
 
 
 @_stage
@@ -62,10 +67,15 @@ def encoding_stage(spark, docs, sf_dir):
     return bpe.digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, written once; ids can be null or repeated."""
+    uri = _common.work_dir(docs.sparkSession, "rows")
+    return _common.write_once(docs.withColumn(ROW, F.monotonically_increasing_id()), uri)
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Rows whose id isn't among the ids of gone; rows of one id share its fate."""
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
+    """Keyed rows that aren't among those of gone, without the key."""
+    return docs.join(gone.select(ROW).distinct(), ROW, "left_anti").drop(ROW)
 
 
 STAGES = [

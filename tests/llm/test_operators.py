@@ -9,10 +9,12 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
+import corpus_pipeline  # noqa: E402
 
 from scriptorium.llm import _common, bpe, decontaminate, lengths, quality, simhash, substrings, suffixes, token_files, topk, warc  # noqa: E402
 
@@ -236,6 +238,23 @@ def test_prefix_and_sketch():
             assert simhash._may(len(x), len(y), i, q.tolist().index(p[i]), 0.8)
 
 
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: rows go for their own text only, and one row of a group stays."""
+    rnd = random.Random(12)
+    text = lambda: " ".join(f"w{rnd.randrange(10**6)}" for _ in range(80))
+    copy, twice, leak, *clean = (text() for _ in range(8))
+    data = [(None, copy), (None, copy), (4, copy + " more"), (None, clean[0]), (None, clean[1]), (7, twice), (7, twice), (7, clean[2]), (8, clean[3]), (None, clean[4]), (None, clean[4])]
+    docs = spark.createDataFrame(data, SCHEMA).withColumn("n_chars", F.length("text"))
+    key = lambda r: (str(r[0]), r[1])
+    got = corpus_pipeline.near_dedup_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted((r[:2] for r in map(tuple, got.collect())), key=key) == sorted([(4, copy + " more"), (None, clean[0]), (None, clean[1]), (7, twice), (7, clean[2]), (8, clean[3]), (None, clean[4])], key=key)
+    spark.createDataFrame([("a", leak)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    data = [(None, leak), (None, clean[0]), (5, leak), (5, clean[1]), (6, clean[2])]
+    got = corpus_pipeline.decontamination_stage(spark, spark.createDataFrame(data, SCHEMA), str(tmp_path))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted([(None, clean[0]), (5, clean[1]), (6, clean[2])], key=key)
+
+
 def test_warc(spark):
     pages = [(1, "http://a/é x", "same"), (2, None, "same"), (3, "u", ""), (4, "u", None), (5, "v", "own\r\n\r\nbody é")]
     made = warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), _common.work_dir(spark, "w"))
