@@ -353,6 +353,17 @@ def coverage_sets(t):
     return c.select("exercise", *(F.array_join(x, ",").alias(x) for x in ("statement_parts", "proof_parts", "missing_proof")))
 
 
+def part_rows(t):
+    """Parts of all orders' exercises, keyed by document and exercise."""
+    return slots(t).where("part <> ''").select(F.concat("doc_id", F.lit(":"), "exercise").alias("exercise"), "part", F.when(F.col("field") == "problem", F.col("value")).alias("problem"), F.when(F.col("field") == "proof", F.col("value")).alias("proof"))
+
+
+@query()
+def coverage_sets_all(t):
+    c = records.coverage(part_rows(t))
+    return c.select("exercise", *(F.array_join(x, ",").alias(x) for x in ("statement_parts", "proof_parts", "missing_proof")))
+
+
 MISMATCH = f"""{SLOTS}, g as (select exercise, list_sort(list_distinct(list(part) filter (where field = 'problem'))) a, list_sort(list_distinct(list(part) filter (where field = 'proof'))) b from (select doc_id || ':' || exercise exercise, part, field from s where part <> '') group by exercise),
 w as (select exercise, coalesce(array_to_string(a, ','), '') statement_parts, coalesce(array_to_string(b, ','), '') proof_parts from g)"""
 
@@ -503,6 +514,12 @@ def prefix_fanout(t):
     return records.prefix_fanout(records.mismatches(rows), sids)
 
 
+@query()
+def prefix_fanout_all(t):
+    rows = part_rows(t)
+    return records.prefix_fanout(records.mismatches(rows), rows.select(R.source_idx(F.col("exercise"), F.col("part")).alias("source_idx")).distinct())
+
+
 # Classification and composition
 
 TYPE = rf"""case when regexp_matches(s, '{R.VALUE_WORDS}') then '{R.VALUE}' when regexp_matches(s, '{R.PROOF_WORDS}') then '{R.PROOF}' else '{R.OTHER}' end"""

@@ -1,5 +1,6 @@
 """Hand-written cases of the functions and operators."""
 
+import bisect
 import importlib
 
 import duckdb
@@ -103,5 +104,21 @@ def test_oracle(spark, name):
     assert sorted(want.columns) == cols and sorted(map(repr, got[cols].values.tolist())) == sorted(map(repr, want[cols].values.tolist()))
 
 
+def whole(spark, name):
+    return sorted(map(tuple, queries.QUERIES[name](spark, DATA).collect()))
+
+
+def test_all_parts(spark):
+    parts = {}
+    for r in queries.slots(lambda t: spark.read.parquet(f"{DATA}/{t}.parquet")).where("part <> ''").collect():
+        parts.setdefault(f"{r.doc_id}:{r.exercise}", ([], []))[r.field == "proof"].append(r.part)
+    sets = {k: (sorted(set(a)), sorted(set(b))) for k, (a, b) in parts.items()}
+    assert whole(spark, "coverage_sets_all") == sorted((k, ",".join(a), ",".join(b), ",".join(x for x in a if x not in b)) for k, (a, b) in sets.items())
+    ids = {k: {f"Exercise {k}-({x})" for x in a + b} for k, (a, b) in sets.items()}
+    every = sorted(set().union(*ids.values()))
+    starts = lambda p: every[bisect.bisect_left(every, p) : bisect.bisect_left(every, p + "\uffff")]
+    assert whole(spark, "prefix_fanout_all") == sorted((k, x) for k, (a, b) in sets.items() if a != b for x in starts(f"Exercise {k}"))
+
+
 def test_entry_without_llm():
     assert importlib.import_module("__spark_entry__").queries()
