@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,16 +36,20 @@ def expand_suffixes(refs: DataFrame, index: DataFrame, tag: str = "tag") -> Data
     return bare.join(base, bare[tag] == base["_base"]).drop("_base")
 
 
-def closure(edges: DataFrame, seeds: DataFrame, rounds: int = 5, out: str | None = None) -> DataFrame:
-    """(src, dst) edges, (root, node) seeds → every (root, node, depth) reachable within rounds, at its least depth."""
+def closure(edges: DataFrame, seeds: DataFrame, rounds: int | None = 5, out: str | None = None) -> DataFrame:
+    """(src, dst) edges, (root, node) seeds → every (root, node, depth) reachable within rounds (None: at all), at its least depth."""
     seen = seeds.select("root", "node", F.lit(0).alias("depth"))
     front = seen
-    for k in range(1, rounds + 1):
+    for k in count(1) if rounds is None else range(1, rounds + 1):
         new = front.join(edges, front["node"] == edges["src"]).select("root", F.col("dst").alias("node")).distinct()
         front = new.join(seen.select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(k))
         if out:  # a written table cuts the lineage of long closures
             front.write.mode("overwrite").parquet(f"{out}/{k}")
             front = edges.sparkSession.read.parquet(f"{out}/{k}")
+        if rounds is None:  # a checkpoint cuts the lineage, whose plan doubles with each round
+            front = front.localCheckpoint()
+            if front.isEmpty():
+                break
         seen = seen.unionByName(front)
     return seen
 

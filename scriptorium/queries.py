@@ -441,6 +441,13 @@ def suffix_expand(t):
     return index.expand_suffixes(refs, idx).select("o_orderkey", "tag", "expanded")
 
 
+@query()
+def suffix_expand_all(t):
+    a = t("part").selectExpr("concat(p_partkey % 50, '.', p_size % 7, char(97 + p_size % 3)) tag")
+    idx = a.union(t("part").where("p_partkey % 2 = 0").selectExpr("concat(p_partkey % 50, '.1') tag")).distinct()
+    return index.expand_suffixes(t("orders").selectExpr("o_orderkey", "concat(o_custkey % 50, '.', o_orderkey % 7) tag"), idx).select("o_orderkey", "tag", "expanded")
+
+
 @query("""with a as (select p_partkey k, p_name v from part where p_partkey % 3 = 0), b as (select p_partkey k, p_brand v from part where p_partkey % 2 = 0) select coalesce(a.k, b.k) k, case when a.k is not null then a.v else b.v end v, a.k is not null from_first from a full join b on a.k = b.k""")
 def index_priority_merge(t):
     p = t("part")
@@ -471,9 +478,24 @@ def ref_cycles(t):
     return index.closure(e, e.selectExpr("src root", "dst node").distinct(), 2).where("root = node").select("root").distinct()
 
 
+def graph_all(t):
+    return t("orders").where("o_custkey % 500 <> o_orderkey % 500").selectExpr("o_custkey % 500 src", "o_orderkey % 500 dst").distinct()
+
+
 @query()
-def expand_context(t):
-    entries = t("orders").where("o_orderkey % 97 = 0").selectExpr("o_orderkey", "map_from_arrays(array('1.1', '1.2'), array(concat('by (1.2) ', o_orderkey), concat('a = ', o_custkey))) idx")
+def ref_closure_all(t):
+    e = graph_all(t)
+    return index.closure(e, e.selectExpr("src root", "src node").distinct(), 5)
+
+
+@query()
+def ref_cycles_all(t):
+    e = graph_all(t)
+    return index.closure(e, e.selectExpr("src root", "dst node").distinct(), None).where("root = node").select("root").distinct()
+
+
+def expanded_context(orders):
+    entries = orders.selectExpr("o_orderkey", "map_from_arrays(array('1.1', '1.2'), array(concat('by (1.2) ', o_orderkey), concat('a = ', o_custkey))) idx")
 
     @F.pandas_udf("text string, notes array<string>")
     def expand(s, idx):
@@ -484,6 +506,16 @@ def expand_context(t):
     return entries.select("o_orderkey", expand(F.lit("Use (1.1)."), "idx").alias("r")).select("o_orderkey", "r.text", "r.notes")
 
 
+@query()
+def expand_context(t):
+    return expanded_context(t("orders").where("o_orderkey % 97 = 0"))
+
+
+@query()
+def expand_context_all(t):
+    return expanded_context(t("orders"))
+
+
 # Sets
 
 

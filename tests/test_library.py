@@ -120,5 +120,35 @@ def test_all_parts(spark):
     assert whole(spark, "prefix_fanout_all") == sorted((k, x) for k, (a, b) in sets.items() if a != b for x in starts(f"Exercise {k}"))
 
 
+def test_all_references(spark):
+    orders = spark.read.parquet(f"{DATA}/orders.parquet").select("o_orderkey", "o_custkey").collect()
+    out = {}
+    for r in orders:
+        if r.o_custkey % 500 != r.o_orderkey % 500:
+            out.setdefault(r.o_custkey % 500, set()).add(r.o_orderkey % 500)
+    want, cyclic = [], []
+    for root in out:
+        depth, front, k = {root: 0}, [root], 0
+        while front:
+            k, front = k + 1, [y for x in front for y in out.get(x, ())]
+            if root in front and (root,) not in cyclic:
+                cyclic.append((root,))
+            front = [y for y in dict.fromkeys(front) if y not in depth]
+            depth |= dict.fromkeys(front, k)
+        want += [(root, x, d) for x, d in depth.items() if d <= 5]
+    assert whole(spark, "ref_closure_all") == sorted(want) and whole(spark, "ref_cycles_all") == sorted(cyclic)
+    assert whole(spark, "expand_context_all") == sorted((r.o_orderkey, *latex.expand_refs("Use (1.1).", {"1.1": f"by (1.2) {r.o_orderkey}", "1.2": f"a = {r.o_custkey}"})) for r in orders)
+    part = spark.read.parquet(f"{DATA}/part.parquet").select("p_partkey", "p_size").collect()
+    tags = {f"{r.p_partkey % 50}.{r.p_size % 7}{'abc'[r.p_size % 3]}" for r in part} | {f"{r.p_partkey % 50}.1" for r in part if r.p_partkey % 2 == 0}
+    refs = [(r.o_orderkey, f"{r.o_custkey % 50}.{r.o_orderkey % 7}") for r in orders]
+    assert whole(spark, "suffix_expand_all") == sorted((k, t, t + c) for k, t in refs if t not in tags for c in "abc" if t + c in tags)
+
+
+def test_long_cycle(spark):
+    e = spark.createDataFrame([(k, (k + 1) % 8) for k in range(8)] + [(9, 0)], "src long, dst long")
+    got = index.closure(e, e.selectExpr("src root", "dst node"), None).where("root = node").select("root").distinct()
+    assert sorted(r.root for r in got.collect()) == list(range(8))
+
+
 def test_entry_without_llm():
     assert importlib.import_module("__spark_entry__").queries()
