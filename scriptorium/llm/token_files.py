@@ -34,8 +34,9 @@ class Encoder:
     """Encodes through the tokenizers library, once for each distinct chunk between ASCII white space.
 
     The vocabulary's pre-tokenizer drops white space, and neither its normaliser nor its pattern looks across it, so
-    the ids of a text are those of its chunks in order. For vocabularies of which that doesn't hold (``local=False``)
-    whole texts go to the library.
+    the ids of a text are those of its chunks in order. Texts of ASCII alone are lower-cased first, as the normaliser would
+    (marks of special tokens excepted, which stand for themselves); others go to it as they are, since it composes characters
+    before it lower-cases. For vocabularies of which that doesn't hold (``local=False``) whole texts go to the library.
     """
 
     def __init__(self, path: str, local: bool = True, most: int = 1_200_000):
@@ -57,7 +58,7 @@ class Encoder:
             return self._library([t.decode() for t in texts])
         if len(self.known) > self.most:
             self.known.clear()
-        known, chunks = self.known, [(t if b"<|" in t else t.lower()).split() for t in texts]
+        known, chunks = self.known, [(t.lower() if t.isascii() and b"<|" not in t else t).split() for t in texts]
         new = set().union(*chunks).difference(known)
         # A chunk that ends in one full stop or comma after an ASCII letter is that word and that mark.
         cut = {c for c in new if c[-1:] in b".," and c[-2:-1].isalpha()}
