@@ -1,17 +1,20 @@
 """Quality classifier from positive and unlabelled documents.
 
-A linear model on style features minimises the unbiased positive-unlabelled risk with the logistic loss,
+A linear model on style features minimises the non-negative positive-unlabelled risk with the logistic loss,
 
     pi * mean over trusted positives of l(g) + max(0, mean over unlabelled of l(-g) - pi * mean over positives of l(-g)),
 
-where pi is the class prior estimated from the training labels. Newton steps run over all rows of a written feature table, with
-sums per task added up in two levels, so neither driver nor tasks see more than one matrix of fixed size. The ridge falls along
-RIDGES; the first model whose bracket is negative by over two standard errors is given up for the one before it, and
-training ends there (the non-negative estimator with its tolerance).
+plus a ridge. pi is the class prior, estimated as the share of good labels among the labels learned from; that holds if labels
+fall on documents without regard to their quality, otherwise pass ``prior``. As l(-g) = l(g) + g, the risk is the larger of two
+convex functions of the weights, the first term and the unbiased risk, so its minimum is that of the first term plus
+lam times the bracket for the largest lam up to 1 at which the bracket isn't negative; lam is bisected, with Newton
+steps for each. They run over all rows of a written feature table, with sums per task added up in two levels, so neither driver
+nor tasks see more than one matrix of fixed size.
 
 Inputs of a score are computed from the text alone. A null or empty text has defined features and gets a score. Repeated
-rows are scored each; a document with labels of both kinds is no trusted positive. Null labels don't count. Without
-trusted positives every score is 0.5. Null ids are no key for labels. Other columns are ignored.
+rows are scored each; the result has the four named columns alone, so columns of docs clash with nothing. A document with labels of
+both kinds is no trusted positive. Null labels don't count. Without trusted positives every score is 0.5. Null ids are no key for
+labels. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,12 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_text, null_id, tidy, work_dir, write_once
+from ._common import NULL_ID, id_text, null_id, tidy, work_dir, write_once
 
 THRESHOLD = 0.3
-RIDGES = (1e-1, 1e-2, 1e-3)
-STEPS = 3
+RIDGE = 1e-1
+STEPS, HALVINGS = 6, 10
 MERGERS = 8
+SLACK = 1e-2  # a bracket this close above 0 ends the search for lam
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _CLASS = np.full(256, 7, np.int64)  # 0 lower, 1 upper, 2 digit, 3 space, 4 line end, 5 mark, 6 control, 7 beyond ASCII
 _CLASS[:128] = 6
@@ -123,41 +127,52 @@ def fit(train: DataFrame, prior: float) -> Model | None:
     model, d = Model(mean, scale, np.zeros(WIDTH + 1), prior), WIDTH + 1
 
     def at(w):
-        """Per row sums at w: losses and their squares, gradient and curvature of the unbiased risk."""
+        """Risk of the positives, bracket, and gradient and curvature of both at w."""
 
         def sums(x, kind):
             x = np.hstack((np.clip((x - mean) / scale, -8, 8), np.ones((len(x), 1))))
-            g, pos = x @ w, (kind == 1).astype(float)
-            p, loss = 1 / (1 + np.exp(-np.clip(g, -40, 40))), np.logaddexp(0, g)  # loss: of g as a negative
-            un, ps = (1 - pos) / n_un, pos / n_pos
-            heads = [(ps * np.logaddexp(0, -g)).sum(), (ps * loss).sum(), (ps * loss**2).sum(), (un * loss).sum(), (un * loss**2).sum()]
-            return np.concatenate((heads, x.T @ (un * p - prior * ps), (x.T * (un * p * (1 - p)) @ x).ravel()))
-
-        s = _total(train, sums)
-        bracket = s[3] - prior * s[1]
-        slack = 2 * np.sqrt(max(0, s[4] - s[3] ** 2) / n_un + prior**2 * max(0, s[2] - s[1] ** 2) / n_pos)
-        return prior * s[0] + bracket, bracket + slack, s[5 : 5 + d], s[5 + d :].reshape(d, d)
-
-    w, weight = np.zeros(d), np.append(np.ones(d - 1), 1e-6)
-    now = at(w)
-    for ridge in RIDGES:
-        start = w
+            out = []
+            for one, part in ((kind == 1, prior / n_pos), (kind == 0, 1 / n_un)):  # weights of a row: positives stand in the bracket too
+                y = x[one]
+                g = y @ w
+                p = 1 / (1 + np.exp(-np.clip(g, -40, 40)))
+                out += [[part * np.logaddexp(0, -g).sum(), part * np.logaddexp(0, g).sum()], part * (p - 1) @ y, part * p @ y, (part * (y.T * (p * (1 - p))) @ y).ravel()]
+            return np.concatenate(out)
+
+        s, n = _total(train, sums), 2 + 2 * d + d * d
+        (p, q), (u, v) = ((x[:2], (x[2 : 2 + d], x[2 + d : 2 + 2 * d], x[2 + 2 * d :].reshape(d, d))) for x in (s[:n], s[n:]))
+        return p[0], u[1] - p[1], q[0], v[1] - q[1], q[2], v[2] - q[2]
+
+    weight = np.append(np.ones(d - 1), 1e-6)
+
+    def newton(w, now, lam):
+        """Minimise the positives' risk + lam * bracket + ridge from w on."""
+        value = lambda n, v: n[0] + lam * n[1] + RIDGE * (weight @ v**2)
         for _ in range(STEPS):
-            step = np.linalg.solve(now[3] + np.diag(2 * ridge * weight), now[2] + 2 * ridge * weight * w)
-            t, was = 1.0, now[0] + ridge * (weight @ w**2)
-            while (new := at(w - t * step))[0] + ridge * (weight @ (w - t * step) ** 2) > was + 1e-9 and t > 0.05:
+            step = np.linalg.solve(now[4] + lam * now[5] + np.diag(2 * RIDGE * weight), now[2] + lam * now[3] + 2 * RIDGE * weight * w)
+            t, was = 1.0, value(now, w)
+            while value(new := at(w - t * step), w - t * step) > was + 1e-9 and t > 0.05:
                 t /= 4
             w, now = w - t * step, new
-            if was - now[0] - ridge * (weight @ w**2) < 1e-4:
+            if was - value(now, w) < 1e-4:
                 break
-        if now[1] < 0:
-            w = start if np.any(start) else w
+        return w, now
+
+    w, now = newton(np.zeros(d), at(np.zeros(d)), 1.0)
+    low, high = 0.0, 1.0
+    for _ in range(HALVINGS if now[1] < 0 else 0):
+        lam = (low + high) / 2
+        w, now = newton(w, now, lam)
+        if 0 <= now[1] < SLACK:
             break
+        low, high = (lam, high) if now[1] >= 0 else (low, lam)
+    if now[1] < 0:  # the bracket at the last step; at low it isn't negative
+        w, now = newton(w, now, low)
     model.w = w
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", held_out=None) -> tuple[Model | None, DataFrame]:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "quality", held_out=None, prior: float | None = None) -> tuple[Model | None, DataFrame]:
     """The model and the feature table (doc_id, f) of all documents.
 
     held_out(id column as text) says which labels must not be learned from. Documents without a label to learn from are the unlabelled ones.
@@ -166,11 +181,13 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     known = labels.where(F.col(label_id).isNotNull() & F.col(label_col).isNotNull() & ~held(F.col(label_id).cast("string")))
     known = known.groupBy(F.col(label_id).cast("long").alias("doc_id")).agg(F.min(F.col(label_col).cast("int")).alias("label"))
     rate = known.agg(F.avg((F.col("label") == 1).cast("double")).alias("p")).first()["p"]
-    rows = feature_table(docs, id_col, text_col).join(known, "doc_id", "left")
+    plain = feature_table(docs, id_col, text_col)
+    keyed = plain.where(F.col("doc_id") != NULL_ID).join(known, "doc_id", "left")
+    rows = keyed.unionByName(plain.where(F.col("doc_id") == NULL_ID).withColumn("label", F.lit(None).cast("int")))  # null ids meet no label
     # kind: 1 trusted positive, 0 unlabelled, -1 a label that isn't used
     rows = rows.select("doc_id", "f", F.expr("case when label is null then 0 when label = 1 then 1 else -1 end").cast("int").alias("kind"))
     table = write_once(rows, f"{uri}/features")
-    model = None if rate is None else fit(table.where("kind >= 0").select("f", "kind"), min(0.99, max(0.01, rate)))
+    model = None if rate is None else fit(table.where("kind >= 0").select("f", "kind"), min(0.99, max(0.01, rate if prior is None else prior)))
     return model, table.select("doc_id", "f")
 
 
