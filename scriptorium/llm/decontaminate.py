@@ -2,9 +2,10 @@
 
 build_index() writes shards of whole documents. A shard row holds its documents (ids, word counts), its sorted vocabulary, and for each
 term the ascending positions at which it stands; positions number the words of the shard through, with gaps between documents,
-so that a position names its document. match() takes the benchmark in blocks of bounded size, looks for each
-window's rarest term in the shard, and intersects its list with the other terms' lists shifted by their offsets, rarest
-first. An empty intersection ends a window early. Nothing but the benchmark block is broadcast and no text is shuffled.
+so that a position names its document. match() takes the benchmark in blocks of bounded size, intersects a block's vocabulary with the
+shard's, which leaves the windows that can occur, and for each of these intersects the list of its rarest term with the other
+terms' lists shifted by their offsets, rarest first. An empty intersection ends a window early. Nothing but one block's windows, as
+numbers, is broadcast and no text is shuffled. With a slop, proximity takes the place of exact phrases.
 
 Words: A-Z lower-cased, then runs of bytes other than 00-2F, 3A-60 and 7B-7F. A window is ``width`` consecutive words of an
 item; an item of fewer words, but not none, is one window. Every word of every occurrence of a window is hit.
@@ -22,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import id_text, null_id, tidy, units, work_dir
+from ._common import id_text, null_id, tidy, units, work_dir, write_once
 
 WIDTH = 10
 SHARD_BYTES = 8 << 20
@@ -96,11 +97,8 @@ class Matcher:
             self.lists[term] = self.shard.positions(term)
         return self.lists[term]
 
-    def phrase(self, phrase: tuple[bytes, ...]) -> np.ndarray:
-        """Positions at which the phrase starts: offset-adjusted lists intersected from the rarest term on."""
-        terms = [self.shard.number.get(w) for w in phrase]
-        if None in terms:
-            return np.zeros(0, np.int64)
+    def phrase(self, terms: list[int]) -> np.ndarray:
+        """Positions at which the terms stand one after another: offset-adjusted lists intersected from the rarest term on."""
         found = None
         for k in sorted(range(len(terms)), key=lambda k: self.shard.sizes[terms[k]]):
             own = self.list(terms[k])
@@ -113,40 +111,70 @@ class Matcher:
                 break
         return found
 
-    def near(self, phrase: tuple[bytes, ...], slop: int) -> np.ndarray:
-        """Positions of the rarest term around which, within slop words either side, all terms of the phrase stand."""
-        terms = {self.shard.number.get(w) for w in phrase}
-        if None in terms or slop >= GAP:
-            return np.zeros(0, np.int64)
-        first, *rest = sorted(terms, key=lambda t: self.shard.sizes[t])
+    def near(self, terms: list[int], reach: int) -> np.ndarray:
+        """Positions at which a run of at most reach words starts that holds all terms and begins with one of them."""
+        first, *rest = sorted(set(terms), key=lambda t: self.shard.sizes[t])
         found = self.list(first)
-        for t in rest:
+        for t in rest:  # places of the rarest term with the others around them
             own = self.list(t)
-            found = found[np.searchsorted(own, found + slop, "right") > np.searchsorted(own, found - slop)]
-        return found
+            found = found[np.searchsorted(own, found + reach - 1, "right") > np.searchsorted(own, found - reach + 1)]
+        if not len(found):
+            return found
+        # Any such run begins at a term that stands within reach before a place found; the next place of each term must lie in it.
+        starts = []
+        for t in {first, *rest}:
+            own = self.list(t)
+            lo, hi = np.searchsorted(own, found - reach + 1), np.searchsorted(own, found, "right")
+            starts.append(own[np.repeat(lo - np.concatenate(([0], np.cumsum(hi - lo)))[:-1], hi - lo) + np.arange((hi - lo).sum())])
+        start = np.unique(np.concatenate(starts))
+        for t in {first, *rest}:
+            own = self.list(t)
+            at = np.searchsorted(own, start)
+            start = start[(at < len(own)) & (own[np.minimum(at, len(own) - 1)] < start + reach)]
+        return start
 
 
 def build_index(docs: DataFrame, out: str, *, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write the index as a table below out, one row per shard."""
 
     def run(batches):
-        for ids, texts in units(batches, shard_bytes):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for k, (ids, texts) in enumerate(units(batches, shard_bytes)):
             row = Shard.build(ids, texts)
-            yield pa.RecordBatch.from_arrays([pa.array([row[k]], pa.binary()) for k in Shard.fields], list(Shard.fields))
+            yield pa.RecordBatch.from_arrays([pa.array([f"{part}-{k}"]), *(pa.array([row[c]], pa.binary()) for c in Shard.fields)], ["shard", *Shard.fields])
 
-    df = id_text(docs, id_col, text_col).mapInArrow(tidy(run), ", ".join(f"{k} binary" for k in Shard.fields))
+    df = id_text(docs, id_col, text_col).mapInArrow(tidy(run), "shard string, " + ", ".join(f"{c} binary" for c in Shard.fields))
     df.write.option("parquet.block.size", 64 << 20).option("compression", "uncompressed").parquet(out)
     return docs.sparkSession.read.schema(df.schema).parquet(out)
 
 
-def windows(items: list[tuple[str, bytes]], width: int) -> dict[tuple[bytes, ...], list[str]]:
-    """Distinct windows and the items that hold them."""
-    out: dict[tuple[bytes, ...], set[str]] = {}
-    for item, text in items:
-        w = words(text)
-        for k in range(max(1, len(w) - width + 1) if w else 0):
-            out.setdefault(tuple(w[k : k + width]), set()).add(item)
-    return {k: sorted(v) for k, v in out.items()}
+class Windows:
+    """Distinct windows of a block of items, as numbers of its sorted vocabulary, by their length."""
+
+    def __init__(self, items: list[tuple[str, bytes]], width: int):
+        found: dict[tuple[bytes, ...], set[int]] = {}
+        self.items = sorted({item for item, _ in items})
+        number = {item: k for k, item in enumerate(self.items)}
+        for item, text in items:
+            w = words(text)
+            for k in range(max(1, len(w) - width + 1) if w else 0):
+                found.setdefault(tuple(w[k : k + width]), set()).add(number[item])
+        self.terms = sorted({x for w in found for x in w})
+        place = {x: k for k, x in enumerate(self.terms)}
+        of_size: dict[int, list] = {}
+        for w, who in found.items():
+            of_size.setdefault(len(w), []).append(([place[x] for x in w], sorted(who)))
+        self.sizes = [(np.array([w for w, _ in got], np.int32), np.array([x for _, who in got for x in who], np.int32), np.concatenate(([0], np.cumsum([len(who) for _, who in got])))) for _, got in sorted(of_size.items())]
+
+    def within(self, shard: Shard):
+        """(terms of the shard, numbers of the items) of the windows whose every word the shard has."""
+        own = np.array([shard.number.get(t, -1) for t in self.terms], np.int64)
+        for table, who, cuts in self.sizes:
+            there = own[table]
+            for k in np.flatnonzero((there >= 0).all(axis=1)).tolist():
+                yield there[k].tolist(), who[cuts[k] : cuts[k + 1]].tolist()
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int):
@@ -162,41 +190,50 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
     yield rows
 
 
-SCHEMA = "doc_id long, n_words long, spans binary, items array<string>"
+SCHEMA = "shard string, place int, doc_id long, n_words long, spans binary, items array<string>"
 
 
-def match(index: DataFrame, block: list[tuple[str, bytes]], width: int = WIDTH) -> DataFrame:
-    """Per document: doc_id, n_words, spans (pairs of first and last-but-one word, merged, as 64-bit integers), items."""
+def match(index: DataFrame, block: list[tuple[str, bytes]], out: str, width: int = WIDTH, slop: int | None = None, every: bool = True) -> DataFrame:
+    """Match one block of items and write the result: shard, place (of the document in it), doc_id, n_words, spans, items.
+
+    spans are pairs of first and last-but-one word, merged, as 64-bit integers. every: also documents without a match. With a slop
+    the words of a window may stand in any order within a run of as many words as the window has, and slop more.
+    """
     spark = index.sparkSession
-    sent = spark.sparkContext.broadcast(windows(block, width))
+    sent = spark.sparkContext.broadcast(Windows(block, width))
 
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
                 shard = Shard.load(row)
                 m, hits, who = Matcher(shard), [], {}
-                for phrase, items in sent.value.items():
-                    if len(found := m.phrase(phrase)):
-                        hits.append(np.stack((found, found + len(phrase)), axis=1))
+                for terms, items in sent.value.within(shard):
+                    reach = len(terms) + (slop or 0)
+                    found = m.phrase(terms) if slop is None else m.near(terms, reach)
+                    if len(found):
+                        hits.append(np.stack((found, found + reach), axis=1))
                         for d in np.unique(np.searchsorted(shard.starts, found, "right") - 1):
                             who.setdefault(int(d), set()).update(items)
                 spans: dict[int, list] = {}
                 if hits:
                     for lo, hi in merged(np.concatenate(hits)):
                         d = int(np.searchsorted(shard.starts, lo, "right")) - 1
-                        spans.setdefault(d, []).append((lo - shard.starts[d], hi - shard.starts[d]))
-                for at in range(0, len(shard.ids), 4096):
-                    some = range(at, min(at + 4096, len(shard.ids)))
+                        spans.setdefault(d, []).append((lo - shard.starts[d], min(hi - shard.starts[d], shard.counts[d])))
+                docs = np.arange(len(shard.ids)) if every else np.array(sorted(who), np.int64)
+                for at in range(0, len(docs), 4096):
+                    some = docs[at : at + 4096]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(shard.ids[some.start : some.stop]), pa.array(shard.counts[some.start : some.stop]),
-                            pa.array([np.array(spans.get(d, []), np.int64).tobytes() for d in some], pa.binary()),
-                            pa.array([sorted(who.get(d, ())) for d in some], pa.list_(pa.string())),
+                            pa.array([row["shard"]] * len(some)), pa.array(some.astype(np.int32)), pa.array(shard.ids[some]), pa.array(shard.counts[some]),
+                            pa.array([np.array(spans.get(d, []), np.int64).tobytes() for d in some.tolist()], pa.binary()),
+                            pa.array([[sent.value.items[x] for x in sorted(who.get(d, ()))] for d in some.tolist()], pa.list_(pa.string())),
                         ],
-                        ["doc_id", "n_words", "spans", "items"],
+                        ["shard", "place", "doc_id", "n_words", "spans", "items"],
                     )
 
-    return index.mapInArrow(tidy(run), SCHEMA)
+    made = write_once(index.mapInArrow(tidy(run), SCHEMA), out)
+    sent.destroy()
+    return made
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -219,26 +256,23 @@ def _digest(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(sha), pa.array([x > 0 for x in n_hit])], ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
-    """Per document: doc_id, n_words, spans, items over the whole benchmark.
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH, slop: int | None = None, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = ITEM_BLOCK_BYTES
+) -> DataFrame:
+    """Per document: doc_id, n_words, spans, items over the whole benchmark; exact phrases, or with a slop proximity matches too (see match).
 
-    With more than one block of items, spans and items of a document's blocks are put together by its row in the index.
+    Blocks of items are matched one after another, and each block's broadcast goes before the next, so that driver and workers hold
+    one block. Later blocks give rows for matching documents only, which are added to those of the first by place in the index.
     """
     out = work_dir(docs.sparkSession, "postings")
     index = build_index(docs, f"{out}/index", id_col=id_col, text_col=text_col)
-    blocks = _blocks(benchmark, item_col, item_text, block_bytes)
-    frames = [match(index, b, width) for b in blocks]
+    frames = [match(index, b, f"{out}/block-{k}", width, slop, every=not k) for k, b in enumerate(_blocks(benchmark, item_col, item_text, block_bytes))]
     if len(frames) == 1:
-        return frames[0]
-    spark, keyed = docs.sparkSession, []
-    for k, f in enumerate(frames):  # a row's place in the index is the same in every pass
-        uri = f"{out}/block-{k}"
-        f.withColumn("row", F.monotonically_increasing_id()).write.parquet(uri)
-        keyed.append(spark.read.parquet(uri))
-    union = keyed[0]
-    for f in keyed[1:]:
+        return frames[0].drop("shard", "place")
+    union = frames[0]
+    for f in frames[1:]:
         union = union.unionByName(f)
-    joined = union.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("spans").alias("s"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    joined = union.groupBy("shard", "place").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("spans").alias("s"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 
     def fold(batches):
         for b in batches:
@@ -248,12 +282,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, width: int = WIDTH,
                 spans.append((merged(x) if len(x) else x).tobytes())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), pa.array(spans, pa.binary()), b.column("items")], ["doc_id", "n_words", "spans", "items"])
 
-    return joined.drop("row").mapInArrow(tidy(fold), SCHEMA)
+    return joined.drop("shard", "place").mapInArrow(tidy(fold), "doc_id long, n_words long, spans binary, items array<string>")
+
+
+def digest(found: DataFrame) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of what contamination() found."""
+    schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+    return found.mapInArrow(tidy(_digest), schema).select(null_id(), "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
 def op8_decontamination(spark, sf_dir: str) -> DataFrame:
-    docs, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
-    found = contamination(docs, benchmark)
-    return found.mapInArrow(tidy(_digest), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean").select(
-        null_id(), "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
-    )
+    return digest(contamination(*(spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))))
