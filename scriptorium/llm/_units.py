@@ -3,7 +3,7 @@
 stage() splits documents into units of bounded size, writes each unit once to the shared folder, and keeps, of the content
 hashes ("anchors") of all units, those that stand in two units or twice in one. Per unit a hash is sent once, so a passage that
 a third of all rows share costs one entry a unit. meet() lets every unit send data for its kept anchors to buckets, and
-every bucket answer the units. Texts aren't shuffled: a task reads its unit's file.
+every bucket answer the units. The number of buckets follows the bytes of the corpus. Texts aren't shuffled: a task reads its unit's file.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, exchange_parts, get_table, give_back, put_table, tidy, units, write_once
+from ._common import NULL_ID, get_table, give_back, put_table, tidy, units, write_once
 
 UNIT_BYTES = 12 << 20
 #: An anchor of more units than this is hot: its data is dealt out by finer content.
@@ -69,9 +69,8 @@ def _flagged(h: np.ndarray) -> np.ndarray:
     return np.where(n > 1, h, h ^ LOW)
 
 
-def stage(docs: DataFrame, id_col: str, text_col: str, out: str, anchors: Callable[[list[bytes]], np.ndarray], unit_bytes: int = UNIT_BYTES) -> DataFrame:
+def stage(docs: DataFrame, id_col: str, text_col: str, out: str, anchors: Callable[[list[bytes]], np.ndarray], parts: int, unit_bytes: int = UNIT_BYTES) -> DataFrame:
     """(unit, data): for every unit, the anchors that may have a partner; the lowest bit tells hot ones. Every unit has a row."""
-    parts = exchange_parts(docs.sparkSession)
     rows = docs.withColumns({ID: F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)), TEXT: F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")}).drop(text_col)
 
     def send(batches):
@@ -119,12 +118,11 @@ def stage(docs: DataFrame, id_col: str, text_col: str, out: str, anchors: Callab
     return write_once(sent.mapInArrow(tidy(find), "unit string, data binary"), f"{out}/candidates")
 
 
-def meet(kept: DataFrame, out: str, send: Callable[[str, pa.Table, np.ndarray, int], Iterator[tuple[int, bytes]]], answer: Callable[[list[tuple[str, bytes]]], Iterator[tuple[str, bytes]]]) -> DataFrame:
+def meet(kept: DataFrame, out: str, parts: int, send: Callable[[str, pa.Table, np.ndarray, int], Iterator[tuple[int, bytes]]], answer: Callable[[list[tuple[str, bytes]]], Iterator[tuple[str, bytes]]]) -> DataFrame:
     """(unit, data): the buckets' answers; every unit has a row.
 
     send(path, unit, anchors, buckets) yields (bucket, data); answer([(unit, data)]) yields (unit, data) for one bucket.
     """
-    parts = exchange_parts(kept.sparkSession)
 
     def sending(batches):
         for path, rows in groups(batches):

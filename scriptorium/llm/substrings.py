@@ -10,7 +10,7 @@ Minimizers of very many units are dealt out by whole windows instead.
 
 A word is removed if a window that covers it also starts in a document with a smaller id. Windows are those of the input. Words lie between ASCII
 white space. Nulls: a null text has no words; null ids are equal and the largest. Rows of one id never remove from each other.
-Empty table: no rows. Other columns are carried along.
+Empty table: no rows. Other columns are carried along, but for those called like a count, which it replaces (``names`` names the counts).
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import get_table, put_table, work_dir
+from ._common import exchange_parts, get_table, put_table, without, work_dir
 from ._units import LOW, finish, meet, stage, texts_of
 
 WIDTH, GRAM = 13, 4
@@ -188,7 +188,7 @@ def _unpack(data: bytes, *kinds) -> list[np.ndarray]:
     return out
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, names: tuple[str, ...] = ("n_words", "n_removed")) -> DataFrame:
     """The documents with repeated words removed, and n_words, n_removed. A text without removals stays as it is; else kept words are joined by a space."""
     out = work_dir(docs.sparkSession, "substrings")
 
@@ -266,8 +266,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 texts[d] = b" ".join([w for w, g in zip(words[d], own.tolist()) if not g])
         return texts, [pa.array(counts), pa.array(removed)]
 
-    answers = meet(stage(docs, id_col, text_col, out, anchors), out, send, answer)
-    return finish(answers, docs, text_col, "n_words long, n_removed long", edit)
+    docs = without(docs, *names)
+    parts = exchange_parts(docs, text_col)
+    answers = meet(stage(docs, id_col, text_col, out, anchors, parts), out, parts, send, answer)
+    return finish(answers, docs, text_col, ", ".join(f"`{c}` long" for c in names), edit)
 
 
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ bytes beyond it. The merged order and its common prefixes give the pairs of anch
 or more; such a pair removes that stretch around each of both. Anchors of very many units are dealt out by half a window on either side, one of which any pair shares.
 
 Matches never cross documents; strings are those of the input. Nulls: a null text is empty, a null id comes back as null. Repeated rows
-are places of their own. Texts shorter than ``width`` stay whole. Empty table: no rows. Other columns are carried along; the text becomes binary,
+are places of their own. Texts shorter than ``width`` stay whole. Empty table: no rows. Other columns are carried along, but for those called like a count, which it replaces (``names`` names the counts); the text becomes binary,
 since cuts may fall inside a character.
 """
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from ._common import get_table, put_table, work_dir
+from ._common import exchange_parts, get_table, put_table, without, work_dir
 from ._units import LOW, finish, meet, stage, texts_of
 from .substrings import _mix, _pack, _unpack
 
@@ -193,7 +193,7 @@ def stretches(right: list[bytes], prefix: list[int], left: list[bytes], count: l
     return [(max(a, int(h)), max(b, width - int(lo))) if h >= 0 else (a, b) for (a, b), lo, h in zip(out, low, high)]
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, names: tuple[str, ...] = ("n_bytes", "n_removed", "n_spans")) -> DataFrame:
     """The documents with repeated bytes removed (text as binary), and n_bytes, n_removed, n_spans."""
     if width < 2 * GRAM:
         raise ValueError(f"width must be at least {2 * GRAM}")
@@ -312,8 +312,10 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 texts[d] = b"".join([*kept, texts[d][until:]])
         return texts, [pa.array(size), pa.array(removed), pa.array(spans)]
 
-    answers = meet(stage(docs, id_col, text_col, out, anchors), out, send, answer)
-    return finish(answers, docs, text_col, "n_bytes long, n_removed long, n_spans long", edit, binary=True)
+    docs = without(docs, *names)
+    parts = exchange_parts(docs, text_col)
+    answers = meet(stage(docs, id_col, text_col, out, anchors, parts), out, parts, send, answer)
+    return finish(answers, docs, text_col, ", ".join(f"`{c}` long" for c in names), edit, binary=True)
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
