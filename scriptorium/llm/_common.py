@@ -8,10 +8,12 @@ executors and repeated tasks leave no half-read file behind.
 
 from __future__ import annotations
 
+import atexit
 import ctypes
 import gc
 import io
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 NULL_ID = (1 << 63) - 1
 BATCH_BYTES = 4 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-_made: list[str] = []
+_made: dict[str, int] = {}  # work folders and the threads that made them
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,13 +42,25 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._scriptorium_dir
 
 
+def _forget() -> None:
+    """Work folders go with the driver; what an operator was told to write elsewhere stays."""
+    for uri in list(_made):
+        try:
+            remove(uri)
+        except OSError:  # the shared folder went first
+            pass
+
+
+atexit.register(_forget)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, empty folder for one run of an operator."""
     small_batches(spark)
     uri = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
     fs, path = fs_of(uri)
     fs.create_dir(path, recursive=True)
-    _made.append(uri)
+    _made[uri] = threading.get_ident()
     return uri
 
 
@@ -55,13 +69,12 @@ def remove(uri: str) -> None:
     fs, path = fs_of(uri)
     if fs.get_file_info(path).type != pafs.FileType.NotFound:
         fs.delete_dir(path)
-    if uri in _made:
-        _made.remove(uri)
+    _made.pop(uri, None)
 
 
-def made_since(mark: int | None = None) -> int | list[str]:
-    """Without a mark, a mark; with one, the work folders made since."""
-    return len(_made) if mark is None else _made[mark:]
+def made() -> set[str]:
+    """The work folders that this thread made and that still stand."""
+    return {uri for uri, thread in _made.items() if thread == threading.get_ident()}
 
 
 def fs_of(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -108,7 +121,7 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The columns doc_id (null: NULL_ID) and text (null: empty, as bytes)."""
+    """The columns doc_id (null: NULL_ID) and text (null: empty, as bytes). Ids must be numbers or text of numbers; others fail the job."""
     small_batches(docs.sparkSession)
     return docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"),
@@ -116,6 +129,20 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """name, with marks before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """df without the columns of these names, which a result of its own replaces."""
+    gone = {n.lower() for n in names}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c.lower() not in gone))
+
+
 def null_id(col: str = "doc_id"):
     return F.nullif(F.col(col), F.lit(NULL_ID)).alias(col)
 
@@ -156,9 +183,39 @@ def tidy(f: Callable) -> Callable:
     return run
 
 
-def exchange_parts(spark: SparkSession) -> int:
-    """Buckets of an exchange: the session's shuffle partitions, which the cluster sizes to its data."""
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+BITS = 1 << 26
+
+
+def flagged(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
+    """rows with a column flag, false only where the key surely isn't among the keys.
+
+    The keys' hashes fill a bitmap of fixed size, at most BITS bits in pages of 4 KB, whatever their number; it is broadcast, so
+    that wide rows without a partner needn't be shuffled. An exact join of the flagged rows has to follow.
+    """
+    at = lambda: F.pmod(F.xxhash64(F.col(key)), F.lit(BITS))
+    page, place = fresh(rows.columns, "_page"), fresh(rows.columns, "_bitmap")
+    pages = keys.groupBy(F.bitmap_bucket_number(at()).alias(page)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at())).alias(place))
+    bit = F.bitmap_bit_position(at())
+    byte = F.conv(F.hex(F.substring(F.col(place), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.withColumn(page, F.bitmap_bucket_number(at())).join(F.broadcast(pages), page, "left")
+    return met.withColumn(flag, F.coalesce(byte.bitwiseAND(F.expr("1").cast("int") * F.pow(F.lit(2), bit % 8).cast("int")) > 0, F.lit(False))).drop(page, place)
+
+
+def left_out(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """rows whose key isn't among those of gone; only rows that the bitmap flags are shuffled."""
+    gone, flag = gone.select(key).distinct(), fresh(rows.columns, "_flag")
+    met = flagged(rows, gone, key, flag)
+    return met.where(~F.col(flag)).drop(flag).unionByName(met.where(flag).drop(flag).join(gone, key, "left_anti"))
+
+
+#: Text of the corpus for each bucket of an exchange, so that a bucket's memory doesn't grow with the input.
+BUCKET_BYTES = 16 << 20
+
+
+def exchange_parts(docs: DataFrame, text_col: str) -> int:
+    """Buckets of an exchange: one for each BUCKET_BYTES of text, at least the session's shuffle partitions."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    return max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
 
 
 def drop_shuffles(spark: SparkSession) -> None:

@@ -7,7 +7,7 @@ other's; so a word's keys are its own codeword and, at distance 3, the five code
 fingerprint are the pairs of segment keys for each pair of segments, from its own pair on in order (the other
 fingerprint supplies the rest). Fingerprints that share a key are verified by their differing bits.
 
-Equal fingerprints are one node. In a key's group of many, links are found by a search that compares only what isn't linked
+Equal fingerprints are one node, named by the fingerprint. In a key's group of many, links are found by a search that compares only what isn't linked
 yet, and each found node gives one link, so rows grow with the nodes and not with their pairs.
 
 Nulls: a null text counts as empty, with fingerprint zero; a null id comes back as null and is the largest. Repeated rows
@@ -24,8 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, id_text, null_id, tidy, work_dir, write_once
-from .components import components
+from ._common import flagged, id_text, null_id, tidy, work_dir, write_once
+from .components import components, join_groups, with_roots
 
 #: Fixed value: the Golay code's generator polynomial.
 GENERATOR = 0xC75
@@ -187,15 +187,20 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, seed: int = 42, radius: int = RADIUS) -> DataFrame:
-    """Per document: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable over links)."""
+    """Per document: doc_id, fingerprint (16 hex digits), component_id (smallest id reachable over links, null if none has an id).
+
+    Links are between fingerprints, so that null or repeated ids connect nothing.
+    """
     if not 0 <= radius <= RADIUS:
         raise ValueError("the keys cover up to three differing bits")
     uri = work_dir(docs.sparkSession, "simhash")
     prints = write_once(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, seed=seed), f"{uri}/prints")
-    nodes = write_once(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), f"{uri}/nodes")
-    root = components(links(nodes.select(F.array("fp").alias("fps"), "node"), radius), f"{uri}/components")
-    group = nodes.join(root, nodes["node"] == root["u"], "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    out = prints.join(group, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    nodes = write_once(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), f"{uri}/nodes")
+    found = links(nodes.select(F.array("fp").alias("fps"), F.col("fp").alias("node")), radius)
+    total = prints.count()
+    group = with_roots(nodes.select(F.col("fp").alias("node"), "least"), components(found, f"{uri}/components"), total)
+    group = nodes.select("fp", "n").join(group.withColumnRenamed("node", "fp"), "fp")
+    out = join_groups(prints, group, "fp", total).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
     return out.select(null_id(), "fingerprint", null_id("component_id"))
 
 
@@ -234,8 +239,10 @@ def share(n, similarity: float):
 
 
 def prefix(s: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarray:
-    """The first members of a sorted set, those in common last: two sets at the similarity share one of them, whatever common holds."""
-    last = np.isin(s, common)
+    """The first members of a sorted set, those in common (sorted) last: two sets at the similarity share one of them, whatever common holds."""
+    at = np.searchsorted(common, s)
+    last = at < len(common)
+    last[last] = common[at[last]] == s[last]
     return np.concatenate((s[~last], s[last]))[: len(s) - int(np.ceil(similarity * len(s) - 1e-9)) + 1]
 
 
@@ -366,80 +373,83 @@ def shared_members(source: DataFrame, shingle: int, least: int = 4, most: int =
 
 
 def close_pairs(source: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(doc_id, text) → rows (key, u, v) of pairs of texts, by the hash of their words, and (key, u, n, at) of members of large groups.
+    """(text) → rows (u, v) of pairs of texts, by the hash of their words, (key, u, n, at) of members of large groups, and (u, n, at: -1, k) of every text with its sketch.
 
     All pairs at the similarity are among the pairs or within a large group.
     """
     common = shared_members(source, shingle)
+    names, schema = ["key", "u", "v", "n", "at", "k"], "key long, u long, v long, n int, at int, k binary"
 
     def spread(batches):
         seen = set()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 out = []
-                for t in b.column(1).slice(at, 512).to_pylist():
+                for t in b.column(0).slice(at, 512).to_pylist():
                     w = _whole(t.lower().split())
                     if w not in seen:
                         seen.add(w)
                         s = shingle_set(t, shingle)
                         p = prefix(s, common, similarity)
-                        out.append((p.view(np.int64), np.full(len(p), w), np.full(len(p), len(s), np.int32), np.arange(len(p), dtype=np.int32)))
+                        out.append((np.append(p.view(np.int64), w), np.full(len(p) + 1, w), np.full(len(p) + 1, len(s), np.int32), np.append(np.arange(len(p), dtype=np.int32), np.int32(-1)), [None] * len(p) + [sketch(s)]))
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["key", "node", "n", "at"])
+                    *c, k = zip(*out)
+                    yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in c), pa.array([y for x in k for y in x], pa.binary())], ["key", "node", "n", "at", "k"])
 
     def meet(batches):
         for t in whole_keys(batches):
-            rows = [np.asarray(c.combine_chunks()) for c in t.columns]
+            plain = t.filter(pa.compute.greater_equal(t.column("at"), 0))
+            if plain.num_rows < t.num_rows:
+                own = t.filter(pa.compute.less(t.column("at"), 0))
+                none = pa.nulls(own.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, *(own.column("node").chunks or [none]), none, *(c.combine_chunks() for c in own.columns[2:])], names)
+            rows = [np.asarray(c.combine_chunks()) for c in plain.columns[:4]]
+            if not len(rows[0]):
+                continue
             one = np.concatenate(([True], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])))  # texts that several tasks met
             rows = [c[one] for c in rows]
             heads = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
             size = np.repeat(sizes := np.diff(np.append(heads, len(rows[0]))), sizes)
             for u, v in pairs_in(*(c[(size > 1) & (size <= PAIRWISE)] for c in rows), similarity):
                 none = pa.nulls(len(u), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.nulls(len(u), pa.int64()), *_linked(u, v).columns, none, none], ["key", "u", "v", "n", "at"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(u), pa.int64()), *_linked(u, v).columns, none, none, pa.nulls(len(u), pa.binary())], names)
             if (large := size > PAIRWISE).any():
                 key, node, n, at = (pa.array(c[large]) for c in rows)
-                yield pa.RecordBatch.from_arrays([key, node, pa.nulls(len(key), pa.int64()), n, at], ["key", "u", "v", "n", "at"])
+                yield pa.RecordBatch.from_arrays([key, node, pa.nulls(len(key), pa.int64()), n, at, pa.nulls(len(key), pa.binary())], names)
 
-    keyed = source.select("doc_id", "text").mapInArrow(tidy(spread), "key long, node long, n int, at int")
-    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidy(meet), "key long, u long, v long, n int, at int")
+    keyed = source.select("text").mapInArrow(tidy(spread), "key long, node long, n int, at int, k binary")
+    return keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(tidy(meet), schema)
 
 
-def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seeds: int = 4) -> DataFrame:
-    """Per row: doc_id, component_id (smallest id of the group) over links of texts whose shingle sets reach the Jaccard similarity.
+def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, seeds: int = 1, unique_ids: bool = False) -> DataFrame:
+    """Per row: doc_id, component_id (smallest id of the group, null if none has one) over links of texts whose shingle sets reach the Jaccard similarity.
 
     Candidates come from SimHashes over the distinct words, one for each seed, within three bits by the same keys, and from a
-    join on prefixes of the shingle sets, which misses no pair at the similarity. Every candidate link is verified on the
-    sets of word shingles, after a comparison of their sketches. Groups of over 32 texts under one shingle are searched, and
-    then all pairs across the verified groups are compared. Texts of equal words are one node.
+    join on prefixes of the shingle sets, which misses no pair at the similarity. Every candidate link is verified, first by
+    sketches of the shingle sets, then by the sets of both texts. Groups of over 32 texts under one shingle are searched, and
+    then all pairs across the verified groups are compared. Texts of equal words are one node; ids connect nothing, so null or
+    repeated ids do no harm. unique_ids tells that no id is null or repeated, which saves a written copy of the texts.
     """
     spark, uri = docs.sparkSession, work_dir(docs.sparkSession, "similar")
     source = id_text(docs, id_col, text_col)
+    if unique_ids:
+        source = source.withColumn("row", F.col("doc_id"))
+    else:
+        source = write_once(source.withColumn("row", F.monotonically_increasing_id()), f"{uri}/rows")
 
     def mark(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 p = b.slice(at, 512)
-                whole, fps = zip(*(_word_prints(t, seeds) for t in p.column(1).to_pylist()))
-                yield pa.RecordBatch.from_arrays([p.column(0), pa.array(whole, pa.int64()), pa.array(fps, pa.list_(pa.int64()))], ["doc_id", "whole", "fps"])
-
-    marks = write_once(source.mapInArrow(tidy(mark), "doc_id long, whole long, fps array<long>"), f"{uri}/marks")
-    nodes = marks.groupBy("whole").agg(F.min("doc_id").alias("doc_id"), F.min("fps").alias("fps"))
-    nodes = write_once(nodes.select(F.col("whole").alias("node"), "doc_id", "fps"), f"{uri}/nodes")
-    bits, met = write_once(links(nodes), f"{uri}/bits"), write_once(close_pairs(source, shingle, similarity), f"{uri}/met")
-    members = met.where("v is null").select("key", F.col("u").alias("node"), "n", "at")
-    near = write_once(bits.union(met.where("v is not null").select("u", "v")).distinct(), f"{uri}/pairs")
-    ends = near.select(F.col("u").alias("node")).union(near.select("v")).union(members.select("node")).distinct()
-
-    def sets(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                texts = b.column(1).slice(at, 512).to_pylist()
-                s = [shingle_set(t, shingle) for t in texts]
-                yield pa.RecordBatch.from_arrays([pa.array([_whole(t.lower().split()) for t in texts]), pa.array([len(x) for x in s]), pa.array([sketch(x) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], ["node", "n", "k", "s"])
+                whole, fps = zip(*(_word_prints(t, seeds) for t in p.column("text").to_pylist()))
+                yield pa.RecordBatch.from_arrays([p.column("row"), p.column("doc_id"), pa.array(whole, pa.int64()), pa.array(fps, pa.list_(pa.int64()))], ["row", "doc_id", "whole", "fps"])
 
-    sets_ = source.join(nodes.join(ends, "node", "left_semi").select("doc_id").distinct(), "doc_id", "left_semi")
-    sets_ = write_once(sets_.mapInArrow(tidy(sets), "node long, n long, k binary, s binary").dropDuplicates(["node"]), f"{uri}/sets")
+    marks = write_once(source.mapInArrow(tidy(mark), "row long, doc_id long, whole long, fps array<long>"), f"{uri}/marks")
+    nodes = marks.groupBy("whole").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"), F.min("fps").alias("fps"), F.count("*").alias("n"))
+    nodes = write_once(nodes.withColumnRenamed("whole", "node"), f"{uri}/nodes")
+    bits, met = write_once(links(nodes.select("fps", "node")), f"{uri}/bits"), write_once(close_pairs(source, shingle, similarity), f"{uri}/met")
+    sketches = met.where("at < 0").select(F.col("u").alias("node"), "n", "k").dropDuplicates(["node"])
+    near = bits.union(met.where("v is not null").select("u", "v")).distinct()
 
     def screen(batches):
         for b in batches:
@@ -448,33 +458,39 @@ def similar_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
             yield b.select(["u", "v"]).filter(pa.array(may))
 
     def verify(batches):
+        sets: dict[int, np.ndarray] = {}  # of the last texts; rows of one text come one after another
         for b in batches:
             ok = []
-            for x, y in zip(b.column("k"), b.column("l")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for u, v, a, c in zip(*(b.column(k).to_pylist() for k in ("u", "v", "a", "c"))):
+                x, y = (sets[e] if e in sets else shingle_set(t, shingle) for e, t in ((u, a), (v, c)))
+                sets = {u: x, v: y}
                 both = len(np.intersect1d(x, y, assume_unique=True)) if similarity * max(len(x), len(y)) <= min(len(x), len(y)) + 1e-9 else 0
                 ok.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
             yield b.select(["u", "v"]).filter(pa.array(ok, pa.bool_()))
 
-    def passing(pairs, f, col):
-        u, v = (sets_.select(F.col("node").alias(e), F.col("n").alias(a), F.col(col).alias(b)) for e, a, b in (("u", "n", "k"), ("v", "m", "l")))
-        return pairs.join(u, "u").join(v, "v").select("u", "v", "n", "m", "k", "l").mapInArrow(tidy(f), "u long, v long")
-
     def verified(pairs, name):
-        kept = write_once(passing(pairs, screen, "k"), f"{uri}/{name}-screened")
-        return write_once(passing(kept, verify, "s"), f"{uri}/{name}-links")
-
+        u, v = (sketches.select(F.col("node").alias(e), F.col("n").alias(a), F.col("k").alias(b)) for e, a, b in (("u", "n", "k"), ("v", "m", "l")))
+        kept = write_once(pairs.join(u, "u").join(v, "v").select("u", "v", "n", "m", "k", "l").mapInArrow(tidy(screen), "u long, v long"), f"{uri}/{name}-screened")
+        ends = kept.select(F.col("u").alias("node")).union(kept.select("v")).distinct().join(nodes.select("node", "row"), "node")
+        ends = write_once(ends, f"{uri}/{name}-ends")
+        some = flagged(source.select("row", "text"), ends, "row", "needed").where("needed")
+        texts = write_once(some.join(ends, "row").select("node", "text"), f"{uri}/{name}-texts")
+        u, v = (texts.select(F.col("node").alias(e), F.col("text").alias(b)) for e, b in (("u", "a"), ("v", "c")))
+        return write_once(kept.join(u, "u").join(v, "v").select("u", "v", "a", "c").mapInArrow(tidy(verify), "u long, v long"), f"{uri}/{name}-links")
+
+    members = met.where("at >= 0 and v is null").select("key", F.col("u").alias("node"), "n", "at")
     if members.isEmpty():
         root = components(verified(near, "all"), f"{uri}/components")
     else:  # a link of the search that fails leaves its ends in different groups, and all pairs across groups are compared then
-        members = members.join(sets_.select("node", "k"), "node")
+        members = members.join(sketches.select("node", "k"), "node")
         found = verified(near.union(large_links(members.withColumn("label", F.col("node")), similarity, False)).distinct(), "first")
         root = components(found, f"{uri}/first")
         members = members.join(root.select(F.col("u").alias("node"), "root"), "node", "left").withColumn("label", F.coalesce("root", "node"))
         root = components(found.union(verified(large_links(members, similarity, True), "rest")), f"{uri}/components")
-    group = nodes.join(root, nodes["node"] == root["u"], "left").select(F.col("node").alias("whole"), "doc_id", F.coalesce("root", "node").alias("root"))
-    group = group.join(group.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("whole", "component_id")
-    return marks.join(group, "whole").select(null_id(), null_id("component_id"))
+    total = marks.count()
+    group = with_roots(nodes.select("node", "least"), root, total)
+    group = nodes.select("node", "n").join(group, "node").withColumnRenamed("node", "whole")
+    return join_groups(marks.select("doc_id", "whole"), group, "whole", total).select(null_id(), null_id("component_id"))
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

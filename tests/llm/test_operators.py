@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 import corpus_pipeline  # noqa: E402
 
-from scriptorium.llm import _common, bpe, decontaminate, lengths, quality, simhash, substrings, suffixes, token_files, topk, warc  # noqa: E402
+from scriptorium.llm import _common, bpe, components, decontaminate, lengths, quality, simhash, substrings, suffixes, token_files, topk, warc  # noqa: E402
 
 
 def table():
@@ -59,6 +59,16 @@ def test_token_files(spark, docs, empty):
     assert token_files.read_shards(token_files.write_shards(empty, path, _common.work_dir(spark, "t"), end_id=1)).count() == 0
 
 
+def test_token_ids_are_exact():
+    """Every assigned code point after capitals and marks, alone and composed, as the library encodes the whole text."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, enc = Tokenizer.from_file(path), token_files.Encoder(path)
+    odd = ["Y\u030a", "W\u030a", "H\u0331", "T\u0308", "J\u030c", "<|ENDOFTEXT|> Y\u030a A.", "<|endoftext|>Word, word", "WORD WORD. \u0130 \u03a3 \ufb01", "a\x1cb\x85c\u2003d"]
+    points = [chr(c) for c in range(0x20, 0x30000) if not 0xD800 <= c < 0xE000]
+    texts = odd + [f"Ab {''.join(points[k : k + 3])} X{points[k]} Y{points[k + 1 if k + 1 < len(points) else k]}." for k in range(0, len(points), 7)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in enc.encode([t.encode() for t in texts])] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_damaged_frame(tmp_path):
     with open(tmp_path / "x", "wb") as f:
         w = token_files.ShardWriter(f, 4)
@@ -140,6 +150,37 @@ def test_simhash(docs, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
+def test_simhash_ids_connect_nothing(spark):
+    """Null and repeated ids: each text meets its own copies only."""
+    rnd = random.Random(7)
+    a, b, c = (" ".join(f"w{rnd.randrange(10**6)}" for _ in range(60)) for _ in range(3))
+    docs = spark.createDataFrame([(None, a), (None, b), (1, a), (2, b), (9, c), (9, a), (None, c)], SCHEMA)
+    want = sorted([(None, 1), (None, 2), (1, 1), (2, 2), (9, 9), (9, 1), (None, 9)], key=str)
+    for got in (simhash.near_duplicates(docs).select("doc_id", "component_id"), simhash.similar_documents(docs)):
+        assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    alone = spark.createDataFrame([(None, a), (None, a), (4, b)], SCHEMA)
+    assert sorted((tuple(r) for r in simhash.similar_documents(alone).collect()), key=str) == [(4, 4), (None, None), (None, None)]
+
+
+def test_hot_groups(spark):
+    """Keys of a third of all rows are met by broadcast; nothing changes."""
+    rows_ = [(k, 0) for k in range(1, 400)] + [(k, k - 1) for k in range(1000, 1300)] + [(5, 999)]
+    links = spark.createDataFrame(rows_, "u long, v long")
+    got = dict(map(tuple, components.components(links, _common.work_dir(spark, "c")).collect()))
+    assert got == {k: 0 for k in [*range(1, 400), *range(999, 1300)]}
+    one = components.join_groups(links, links.groupBy("v").agg(F.max("u").alias("top"), F.count("*").alias("n")), "v", links.count())
+    assert sorted((r.u, r.v, r.top) for r in one.collect()) == sorted((u, v, max(x for x, y in rows_ if y == v)) for u, v in rows_)
+
+
+def test_left_out(spark):
+    rows_ = spark.range(3000).selectExpr("case when id % 100 = 7 then null else id end id", "id x", "'t' _flag", "1 _page")
+    gone = spark.range(0, 9000, 3).toDF("id")
+    got = _common.left_out(rows_, gone, "id")
+    assert got.columns == rows_.columns and sorted(r.x for r in got.collect()) == [k for k in range(3000) if k % 3 or k % 100 == 7]
+    assert _common.left_out(rows_, gone.where("false"), "id").count() == 3000
+    assert _common.flagged(rows_, gone, "id", "f").where("f").count() < 1100
+
+
 def test_golay_keys():
     rnd = np.random.default_rng(1)
     fp = rnd.integers(0, 1 << 63, 400, dtype=np.uint64)
@@ -267,15 +308,35 @@ def test_warc(spark):
 def test_decontamination(spark, docs, empty):
     bench = [("a", " ".join(table()[17][1].split()[6:30])), ("b", "ONE"), ("c", None), (None, "x"), ("d", "!!"), ("e", "ab " * 30)]
     items = spark.createDataFrame(bench, "item_id string, text string")
-    want = sorted((d, n, h, k) for d, n, h, k, _, _ in brute.op8(table(), bench))
-    spans = lambda b: int(np.diff(np.frombuffer(b, np.int64).reshape(-1, 2)).sum())
     for size in (1 << 20, 40):
-        got = decontaminate.contamination(docs, items, block_bytes=size).collect()
-        assert sorted((r.doc_id, r.n_words, spans(r.spans), len(r["items"])) for r in got) == want
+        got = decontaminate.contamination(docs, items, block_bytes=size)
+        assert rows(decontaminate.digest(got)) == sorted(brute.op8(table(), bench))
     assert decontaminate.contamination(empty, items).count() == 0
-    shard = decontaminate.Shard.load(decontaminate.Shard.build([1], [b"x a b c x c a"]))
-    m = decontaminate.Matcher(shard)
-    assert m.phrase((b"a", b"b")).tolist() == [1] and len(m.near((b"b", b"x"), 1)) == 0 and m.near((b"b", b"x"), 2).tolist() == [2]
+    assert {r.n_hit for r in decontaminate.digest(decontaminate.contamination(docs, items.where("false"))).collect()} == {0}
+
+
+def near_items(text, bench, width, slop):
+    """Brute force of proximity: items with a window whose words all stand in some run of width + slop words."""
+    w, out = decontaminate.words((text or "").encode()), set()
+    for item, b in bench:
+        b = decontaminate.words((b or "").encode())
+        for k in range(max(1, len(b) - width + 1) if b and item else 0):
+            need = set(b[k : k + width])
+            reach = len(b[k : k + width]) + slop
+            if any(need <= set(w[i : i + reach]) for i in range(len(w))):
+                out.add(item)
+    return sorted(out)
+
+
+def test_proximity(spark):
+    rnd = random.Random(13)
+    line = lambda n: " ".join(rnd.choice("abcdefgh") + rnd.choice("xy") for _ in range(n))
+    data = [(k, line(rnd.randint(0, 40))) for k in range(60)] + [(60, None), (60, "")]
+    bench = [(f"i{k}", line(rnd.randint(3, 8))) for k in range(12)] + [("n", None), (None, "ax"), ("s", "bx")]
+    docs, items = spark.createDataFrame(data, SCHEMA), spark.createDataFrame(bench, "item_id string, text string")
+    for slop, size in ((0, 1 << 20), (4, 30)):
+        got = decontaminate.contamination(docs, items, width=4, slop=slop, block_bytes=size).collect()
+        assert sorted((r.doc_id, sorted(r["items"])) for r in got) == sorted((i, near_items(t, bench, 4, slop)) for i, t in data)
 
 
 def test_topk(spark):
@@ -309,3 +370,33 @@ def test_quality(spark, empty):
     assert sum(r.predicted == (r.doc_id % 5 > 0) for r in got if r.doc_id < 600) > 590
     assert {r.score for r in quality.classify(docs, labels.where("false")).collect()} == {0.5}
     assert quality.classify(empty, labels).count() == 0
+
+
+def test_non_negative_risk(spark):
+    """The clamped risk of the fitted weights against plain subgradient descent, with a prior so high that the bracket clamps."""
+    rnd = np.random.default_rng(14)
+    x = np.concatenate((rnd.normal(1, 1, (60, 3)), rnd.normal(0, 1, (300, 3))))
+    x = np.hstack((x, np.zeros((360, quality.WIDTH - 3)))).astype("<f4")
+    kind = np.array([1] * 60 + [0] * 300)
+    train = spark.createDataFrame([(r.tobytes(), int(k)) for r, k in zip(x, kind)], "f binary, kind int")
+    for prior in (0.2, 0.95):
+        m = quality.fit(train, prior)
+        y = np.hstack((np.clip((x - m.mean) / m.scale, -8, 8), np.ones((len(x), 1))))
+        w0 = np.append(np.ones(quality.WIDTH), 1e-6)
+
+        def risk(w):
+            g = y @ w
+            a = prior * np.logaddexp(0, -g[kind == 1]).mean()
+            b = np.logaddexp(0, g[kind == 0]).mean() - prior * np.logaddexp(0, g[kind == 1]).mean()
+            return a + max(0, b) + quality.RIDGE * (w0 @ w**2), b
+
+        w, best = np.zeros(len(w0)), np.inf
+        for k in range(5000):
+            g = y @ w
+            p = 1 / (1 + np.exp(-g))
+            grad = prior * ((p - 1)[kind == 1, None] * y[kind == 1]).mean(0) + 2 * quality.RIDGE * w0 * w
+            if risk(w)[1] > 0:
+                grad = grad + (p[kind == 0, None] * y[kind == 0]).mean(0) - prior * (p[kind == 1, None] * y[kind == 1]).mean(0)
+            w = w - grad / (1 + k) ** 0.6
+            best = min(best, risk(w)[0])
+        assert risk(m.w)[1] >= 0 and risk(m.w)[0] < best + quality.SLACK
