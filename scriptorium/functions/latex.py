@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType
 
+from .text import strip, text
+
 _INNER = ("aligned", "align", "cases", "matrix", "pmatrix", "bmatrix", "vmatrix", "array", "gathered", "split", "smallmatrix")
 _OUTER = ("equation", "align", "gather", "multline", "eqnarray")
 _TOKEN = re.compile(r"\\\\|\\\[|\\\]|\\\(|\\\)")
@@ -15,15 +18,15 @@ _DISPLAY = re.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\begin\{(?P<env>(?:equation|ali
 
 
 def _balance(s: str, left: str, right: str) -> str:
-    """Drop right delimiters without a left one; close what stays open. A line break isn't a delimiter."""
+    """Drop right delimiters without a left one; close all that stay open. A line break isn't a delimiter."""
     out, at, depth = [], 0, 0
     for m in _TOKEN.finditer(s):
         if m[0] == right and depth == 0:
             out.append(s[at : m.start()])
             at = m.end()
         elif m[0] in (left, right):
-            depth = 1 if m[0] == left else 0
-    return "".join([*out, s[at:]]) + ("\n" + right if left == r"\[" and depth else right if depth else "")
+            depth += 1 if m[0] == left else -1
+    return "".join([*out, s[at:]]) + (("\n" + right if left == r"\[" else right) * depth)
 
 
 def balance_display(s: str) -> str:
@@ -130,37 +133,17 @@ def keep_tags(s: str, allowed: list[str]) -> str:
     return re.sub(r"\\tag\{([^}]*)\}", one, s)
 
 
-def expand_refs(s: str, index: dict[str, str], depth: int = 5) -> tuple[str, list[str]]:
-    """Worklist expansion of references: contents are appended once, later ones with a note of their ordinal, cycles with a note."""
-    names = ["double", "third", "fourth", "fifth", "sixth", "seventh", "eighth"]
-    find = re.compile(r"\((\d+(?:\.\d+)*[A-Za-z]?)\)")
-    visited: set[str] = set()
-    notes: list[str] = []
-    level = 0
-    while True:
-        todo = [t for t in dict.fromkeys(find.findall(s)) if t in index and t not in visited]
-        if not todo:
-            return s, notes
-        tag = todo[0]
-        visited.add(tag)
-        content = index[tag].strip()
-        if not content:
-            continue
-        if level:
-            name = names[level - 1] if level <= len(names) else f"level-{level + 1}"
-            notes.append(f"{name} reference + ({tag})")
-        for other in dict.fromkeys(find.findall(content)):
-            if other in visited:
-                notes.append(f"Cyclic reference detected: ({other}) (in expansion of ({tag}))")
-        s += f"\n\n[({tag}): {content}]"
-        level = min(level + 1, depth)
-
-
-@F.pandas_udf(StringType())
-def heal(s: pd.Series) -> pd.Series:
-    return s.map(heal_text)
-
-
-@F.pandas_udf(BooleanType())
-def placeholder_roundtrip(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: show_math(*hide_math(t)) == (t or ""))
+@F.arrow_udf(StringType())
+def _heal(s: pa.Array) -> pa.Array:
+    return pa.array([heal_text(t) for t in s.to_pylist()], pa.string())
+
+
+def heal(c) -> Column:
+    """The healed text; texts without a mark of TeX, a fence or a section sign are only stripped, in the JVM."""
+    s = text(c)
+    return F.when(s.rlike(r"[\\$`§]"), _heal(s)).otherwise(strip(F.translate(s, "\xa0", " ")))
+
+
+@F.arrow_udf(BooleanType())
+def placeholder_roundtrip(s: pa.Array) -> pa.Array:
+    return pa.array([show_math(*hide_math(t)) == (t or "") for t in s.to_pylist()], pa.bool_())

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 #: Marks of leaked prompts, penalties, and line patterns that results depend on.
 PROMPT_MARKERS = [
@@ -22,6 +26,8 @@ PENALTIES = {
 }
 LAYOUT = r"\b(text|equation|interline_equation|sub_title|title|figure|table)\s*\[\[\d+,\s*\d+,\s*\d+,\s*\d+\]\]"
 UNICODE_MATH = "[≤≥≠≈∈∉⊂⊆⊃⊇→⇒↦×·∞∇ℝℕℤℚℂ]"
+#: Characters of Unicode's White_Space; trimming by a list is linear, a pattern for a trailing run isn't.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_END = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
@@ -30,11 +36,11 @@ def text(c) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def rstrip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)\s+\z", "")
+    return F.rtrim(c, F.lit(BLANKS))
 
 
 def squeeze(c: Column) -> Column:
@@ -77,17 +83,32 @@ def strip_layout_boxes(c) -> Column:
     return strip(join(F.filter(cut, lambda x: x != "")))
 
 
-def strip_leading_boilerplate(c, patterns: list[str], most: int = 6) -> Column:
-    """struct(text, removed): leading lines that match go, up to a number; blank ones between them are passed over."""
-    hit = lambda x: any_of(strip(x), patterns, "")
-    start = F.struct(F.lit(True).alias("on"), F.lit(0).alias("n"), F.array().cast("array<string>").alias("out"))
+def valid_patterns(patterns: list) -> list[str]:
+    """Those of a list that are patterns; anything else is passed over."""
+    out = []
+    for p in patterns if isinstance(patterns, list) else []:
+        if isinstance(p, str) and p.strip():
+            try:
+                re.compile(p)
+            except re.error:
+                continue
+            out.append(p)
+    return out
 
-    def step(s, x):
-        blank, gone = strip(x) == "", s["on"] & (s["n"] < most) & hit(x)
-        return F.struct((s["on"] & (s["n"] < most) & (blank | gone)).alias("on"), (s["n"] + gone.cast("int")).alias("n"), F.when(gone, s["out"]).otherwise(F.concat(s["out"], F.array(x))).alias("out"))
 
-    done = F.aggregate(lines(c), start, step)
-    return F.struct(strip(join(done["out"])).alias("text"), done["n"].alias("removed"))
+#: Fixed value: the line that the paper route drops.
+DO_NOT_CHANGE = [r"\s*do\s+not\s+change\s+the\s+text(\s+in\s+the\s+image)?\s*\.?\s*$"]
+
+
+def strip_leading_boilerplate(c, patterns: list[str], most: int = 6) -> Column:
+    """struct(text, removed): leading lines that start with a pattern go, up to a number; blank ones between them are passed over."""
+    all_, blank = lines(c), lambda x: strip(x) == ""
+    own = F.filter(F.transform(all_, lambda x, k: F.struct(k.alias("k"), x.alias("x"))), lambda p: ~blank(p["x"]))
+    hits = F.transform(F.slice(own, 1, most), lambda p: any_of(p["x"], [f"^(?:{q})" for q in valid_patterns(patterns)] or [r"(?!)"]))
+    stop = F.array_position(hits, False).cast("int")
+    n = F.when(stop > 0, stop - 1).otherwise(F.size(hits))
+    start = F.when(n < F.size(own), F.try_element_at(own, n + 1)["k"]).otherwise(F.size(all_))
+    return F.struct(strip(join(F.slice(all_, start + 1, F.greatest(F.size(all_) - start, F.lit(0))))).alias("text"), n.alias("removed"))
 
 
 _NUM = r"(\d+(?:\.\d+)+)"
@@ -313,18 +334,23 @@ def unbalanced_display(c) -> Column:
     return F.size(F.filter(lines(c), lambda x: x.rlike(r"^\s*\$\$\s*$"))) % 2
 
 
-def bracket_errors(c) -> Column:
-    """Brackets that don't match, by a stack."""
-    marks = F.split(F.regexp_replace(text(c), r"[^(){}\[\]]", ""), "")
-    start = F.struct(F.array().cast("array<string>").alias("stack"), F.lit(0).alias("bad"))
+@F.arrow_udf(IntegerType())
+def _bracket_errors(marks: pa.Array) -> pa.Array:
+    pair, out = {")": "(", "}": "{", "]": "["}, []
+    for s in marks.to_pylist():
+        stack, bad = [], 0
+        for x in s or "":
+            if x not in pair:
+                stack.append(x)
+            elif not stack or stack.pop() != pair[x]:
+                bad += 1
+        out.append(bad + len(stack))
+    return pa.array(out, pa.int32())
 
-    def step(s, x):
-        top, pair = F.try_element_at(s["stack"], F.lit(-1)), F.translate(x, ")}]", "({[")
-        opening = x.isin("(", "{", "[")
-        stack = F.when(opening, F.concat(s["stack"], F.array(x))).when(x == "", s["stack"]).otherwise(F.slice(s["stack"], 1, F.greatest(F.size(s["stack"]) - 1, F.lit(0))))
-        return F.struct(stack.alias("stack"), (s["bad"] + F.when(opening | (x == ""), 0).when(top == pair, 0).otherwise(1)).alias("bad"))
 
-    return F.aggregate(marks, start, step, lambda s: s["bad"] + F.size(s["stack"]))
+def bracket_errors(c) -> Column:
+    """Brackets that don't match, by a stack; linear, over the brackets alone."""
+    return _bracket_errors(F.regexp_replace(text(c), r"[^(){}\[\]]", ""))
 
 
 def short_title(c) -> Column:

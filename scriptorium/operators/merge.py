@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import block_key, strip, text
+from ..functions.text import block_key, rstrip, strip, text
 
 END = r"\end{document}"
 ENV = "\\newenvironment{origintext}{}{}\n"
@@ -21,17 +21,19 @@ def wanted(blocks: DataFrame, type_col: str, include: list[str] = (), exclude: l
 def new_blocks(source: DataFrame, target: DataFrame, raw: str, order: list[str], by: list[str] | None = None) -> DataFrame:
     """Source blocks whose normalised text is neither in the target nor earlier in the source."""
     key, by = block_key(raw), by or []
-    s = source.withColumn("_k", key).withColumn("_n", F.row_number().over(Window.partitionBy(*by, "_k").orderBy(*order))).where("_n = 1")
-    return s.join(target.select(*by, block_key(raw).alias("_k")).distinct(), [*by, "_k"], "left_anti").drop("_k", "_n")
+    names = source.columns  # the first row of a key is a partial aggregate, so that a key of very many rows is no one task's
+    first = F.min_by(F.struct(*names), F.struct(*order, *[c for c in names if c not in order]))
+    s = source.withColumn("_k", key).groupBy(*by, "_k").agg(first.alias("_row"))
+    return s.join(target.select(*by, block_key(raw).alias("_k")).distinct(), [*by, "_k"], "left_anti").select("_row.*")
 
 
 def insert_payload(target, payload, at_end: bool = False):
     """The payload before the last end of the document, or at the end."""
     t, p = text(target), text(payload)
     cut = F.length(t) - F.length(F.substring_index(t, END, -1)) - len(END)
-    tail = F.regexp_replace(t, r"(?U)\s+\z", "")
-    end = F.concat(tail, F.lit("\n\n"), F.regexp_replace(p, r"(?U)\s+\z", ""), F.lit("\n"))
-    inside = F.concat(F.regexp_replace(F.substring(t, F.lit(1), cut), r"(?U)\s+\z", ""), F.lit("\n\n"), F.regexp_replace(p, r"(?U)\s+\z", ""), F.lit("\n\n"), F.substring(t, cut + 1, F.length(t)))
+    tail = rstrip(t)
+    end = F.concat(tail, F.lit("\n\n"), rstrip(p), F.lit("\n"))
+    inside = F.concat(rstrip(F.substring(t, F.lit(1), cut)), F.lit("\n\n"), rstrip(p), F.lit("\n\n"), F.substring(t, cut + 1, F.length(t)))
     return F.when(strip(p) == "", t).when(F.lit(at_end) | ~F.contains(t, F.lit(END)), end).otherwise(inside)
 
 
@@ -39,7 +41,7 @@ def declare_env(target, uses):
     """The environment's declaration, once, before the document begins."""
     t, at = text(target), F.instr(text(target), r"\begin{document}")
     have = F.contains(t, F.lit(ENV.strip()))
-    inside = F.concat(F.regexp_replace(F.substring(t, F.lit(1), at - 1), r"(?U)\s+\z", ""), F.lit("\n" + ENV + "\n"), F.substring(t, at, F.length(t)))
+    inside = F.concat(rstrip(F.substring(t, F.lit(1), at - 1)), F.lit("\n" + ENV + "\n"), F.substring(t, at, F.length(t)))
     return F.when(~uses | have, t).when(at > 0, inside).otherwise(F.concat(F.lit(ENV + "\n"), t))
 
 

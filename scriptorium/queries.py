@@ -38,7 +38,15 @@ MARKUP = f"m as (select l_orderkey doc_id, cast({NUMBERED} as integer) line_no,
 NEST_SQL = "case when l_linenumber % 3 = 1 then '%<BLOCK type=' || case when l_returnflag = 'R' then 'proof' else 'thm' end || ' label=\"Exercise ' || (l_orderkey % 50) || '.' || (l_partkey % 20) || '\" part=' || l_linenumber || '>' when l_linenumber % 3 = 0 then '%</BLOCK>' else 'body ' || l_partkey end"
 NESTED = f"m as (select l_orderkey doc_id, cast({NUMBERED} as integer) line_no, {NEST_SQL} line from lineitem)"
 # Slots: exercises and parts from orders' lines.
-SLOT_SQL = f"select l_orderkey doc_id, cast({NUMBERED} as integer) ord, (l_orderkey % 30) || '.' || (l_partkey % 9) exercise, case when l_linenumber % 2 = 0 then chr(cast(97 + l_suppkey % 5 as integer)) else '' end part, case when l_returnflag = 'R' then 'proof' else 'problem' end field, 'Value ' || l_partkey value from lineitem"
+SLOT_COLUMNS = [
+    "l_orderkey doc_id",
+    f"cast({NUMBERED} as integer) ord",
+    "(l_orderkey % 30) || '.' || (l_partkey % 9) exercise",
+    "case when l_linenumber % 2 = 0 then chr(cast(97 + l_suppkey % 5 as integer)) else '' end part",
+    "case when l_returnflag = 'R' then 'proof' else 'problem' end field",
+    "'Value ' || l_partkey value",
+]
+SLOT_SQL = f"select {', '.join(SLOT_COLUMNS)} from lineitem"
 
 
 def markup(t, expr=MARK_SQL):
@@ -46,10 +54,7 @@ def markup(t, expr=MARK_SQL):
 
 
 def slots(t):
-    from pyspark.sql import SparkSession
-
-    t("lineitem").createOrReplaceTempView("_lineitem")
-    return SparkSession.active().sql(SLOT_SQL.replace("chr(", "char(").replace("from lineitem", "from _lineitem"))
+    return t("lineitem").selectExpr(*(c.replace("chr(", "char(") for c in SLOT_COLUMNS))
 
 
 # Lines
@@ -183,12 +188,11 @@ def bracket_balance(t):
     return t("pages").select("page_id", T.bracket_errors("html").alias("errors"), T.unbalanced_display("html").alias("open_display"))
 
 
-@query(r"""with s as (select doc_id, regexp_replace(split_part(text, chr(10), 1), '^\s+|\s+$', '', 'g') s from documents)
-select doc_id, s <> '' and length(s) <= 90 and not suffix(s, '.') and regexp_matches(s, '[A-Za-z]') and not regexp_matches(s, '(?i)\b(is|are|was|were|have|has|that|which|whenever)\b') title,
+@query(rf"""with {LINES}, s as (select doc_id, line_no, regexp_replace(line, '^\s+|\s+$', '', 'g') s from l)
+select doc_id, line_no, s <> '' and length(s) <= 90 and not suffix(s, '.') and regexp_matches(s, '[A-Za-z]') and not regexp_matches(s, '(?i)\b(is|are|was|were|have|has|that|which|whenever)\b') title,
 regexp_matches(regexp_replace(s, '(?i)^(Equivalently|Also|Then|Next|Moreover|Furthermore|Hence|Thus|Finally)\s*,?\s+', ''), '(?i)^(Prove|Show|Find|Compute|Derive|Determine|Verify|Establish|Evaluate|Minimize|Maximize)\b') task from s""")
 def title_and_task_lines(t):
-    first = F.substring_index("text", "\n", 1)
-    return t("documents").select("doc_id", T.short_title(first).alias("title"), T.task_sentence(first).alias("task"))
+    return lines.line_table(t("documents")).select("doc_id", "line_no", T.short_title("line").alias("title"), T.task_sentence("line").alias("task"))
 
 
 @query("""select source, lang, cast(count(*) as bigint) docs, cast(sum(n_chars) as bigint) chars from documents group by rollup(source, lang)""")
@@ -203,11 +207,11 @@ def quality_report(t):
 
 # Pages
 
-PAGED = "p as (select conv_id doc_id, string_agg('<!-- PAGE ' || turn || ' -->' || chr(10) || text, chr(10) order by turn, text) text from conversations group by conv_id)"
+PAGED = "p as (select conv_id doc_id, string_agg('<!--' || repeat(' ', cast(turn % 3 as integer)) || 'PAGE  ' || turn || '-->' || chr(10) || text, chr(10) order by turn, text) text from conversations group by conv_id)"
 
 
 def paged(t):
-    rows = t("conversations").select("conv_id", F.struct("turn", "text").alias("o"), F.concat(F.lit("<!-- PAGE "), "turn", F.lit(" -->\n"), "text").alias("v"))
+    rows = t("conversations").select("conv_id", F.struct("turn", "text").alias("o"), F.concat(F.expr("concat('<!--', repeat(' ', cast(turn % 3 as int)), 'PAGE  ', turn, '-->')"), F.lit("\n"), "text").alias("v"))
     return lines.assemble(rows, "conv_id", "o", "v").withColumnRenamed("conv_id", "doc_id")
 
 
@@ -344,22 +348,14 @@ def longest_prefix(t):
     return records.longest_prefix(slots(t), "doc_id", "value", "ord")
 
 
-@query(f"""with {SLOTS}, g as (select exercise, coalesce(list_sort(list_distinct(list(part) filter (where field = 'problem'))), []) a, coalesce(list_sort(list_distinct(list(part) filter (where field = 'proof'))), []) b from s where part <> '' and doc_id % 7 > 2 group by exercise)
-select exercise, array_to_string(a, ',') statement_parts, array_to_string(b, ',') proof_parts, array_to_string(list_filter(a, lambda x: not list_contains(b, x)), ',') missing_proof from g""")
-def coverage_sets(t):
-    s = slots(t).where("doc_id % 7 > 2")
-    rows = s.select("exercise", "part", F.when(F.col("field") == "problem", F.col("value")).alias("problem"), F.when(F.col("field") == "proof", F.col("value")).alias("proof"))
-    c = records.coverage(rows)
-    return c.select("exercise", *(F.array_join(x, ",").alias(x) for x in ("statement_parts", "proof_parts", "missing_proof")))
-
-
 def part_rows(t):
     """Parts of all orders' exercises, keyed by document and exercise."""
     return slots(t).where("part <> ''").select(F.concat("doc_id", F.lit(":"), "exercise").alias("exercise"), "part", F.when(F.col("field") == "problem", F.col("value")).alias("problem"), F.when(F.col("field") == "proof", F.col("value")).alias("proof"))
 
 
-@query()
-def coverage_sets_all(t):
+@query(f"""with {SLOTS}, g as (select doc_id || ':' || exercise exercise, coalesce(list_sort(list_distinct(list(part) filter (where field = 'problem'))), []) a, coalesce(list_sort(list_distinct(list(part) filter (where field = 'proof'))), []) b from s where part <> '' group by 1)
+select exercise, array_to_string(a, ',') statement_parts, array_to_string(b, ',') proof_parts, array_to_string(list_filter(a, lambda x: not list_contains(b, x)), ',') missing_proof from g""")
+def coverage_sets(t):
     c = records.coverage(part_rows(t))
     return c.select("exercise", *(F.array_join(x, ",").alias(x) for x in ("statement_parts", "proof_parts", "missing_proof")))
 
@@ -433,16 +429,8 @@ def range_expand(t):
 
 
 @query("""with i as (select distinct (p_partkey % 50) || '.' || (p_size % 7) || chr(97 + p_size % 3) tag from part union select distinct (p_partkey % 50) || '.1' from part where p_partkey % 2 = 0),
-r as (select o_orderkey, (o_custkey % 50) || '.' || (o_orderkey % 7) tag from orders where o_orderkey % 4 = 0) select o_orderkey, r.tag, i.tag expanded from r join i on i.tag[:-2] = r.tag and regexp_matches(i.tag, '[a-z]$') where r.tag not in (select tag from i)""")
+r as (select o_orderkey, (o_custkey % 50) || '.' || (o_orderkey % 7) tag from orders) select o_orderkey, r.tag, i.tag expanded from r join i on i.tag[:-2] = r.tag and regexp_matches(i.tag, '[a-z]$') where r.tag not in (select tag from i)""")
 def suffix_expand(t):
-    a = t("part").selectExpr("concat(p_partkey % 50, '.', p_size % 7, char(97 + p_size % 3)) tag")
-    idx = a.union(t("part").where("p_partkey % 2 = 0").selectExpr("concat(p_partkey % 50, '.1') tag")).distinct()
-    refs = t("orders").where("o_orderkey % 4 = 0").selectExpr("o_orderkey", "concat(o_custkey % 50, '.', o_orderkey % 7) tag")
-    return index.expand_suffixes(refs, idx).select("o_orderkey", "tag", "expanded")
-
-
-@query()
-def suffix_expand_all(t):
     a = t("part").selectExpr("concat(p_partkey % 50, '.', p_size % 7, char(97 + p_size % 3)) tag")
     idx = a.union(t("part").where("p_partkey % 2 = 0").selectExpr("concat(p_partkey % 50, '.1') tag")).distinct()
     return index.expand_suffixes(t("orders").selectExpr("o_orderkey", "concat(o_custkey % 50, '.', o_orderkey % 7) tag"), idx).select("o_orderkey", "tag", "expanded")
@@ -459,63 +447,25 @@ def ambiguous_tags(t):
     return index.unambiguous(t("part").selectExpr("p_partkey % 1500 tag", "p_brand brand", "p_partkey o"), "tag", "brand", "o").select("tag", "brand")
 
 
-GRAPH = "e as (select distinct o_custkey % 500 src, o_orderkey % 500 dst from orders where o_custkey % 500 <> o_orderkey % 500 and o_orderkey % 11 = 0)"
+GRAPH = "e as (select distinct o_custkey % 500 src, o_orderkey % 500 dst from orders where o_custkey % 500 <> o_orderkey % 500)"
 
 
 def graph(t):
-    return t("orders").where("o_custkey % 500 <> o_orderkey % 500 and o_orderkey % 11 = 0").selectExpr("o_custkey % 500 src", "o_orderkey % 500 dst").distinct()
+    return t("orders").where("o_custkey % 500 <> o_orderkey % 500").selectExpr("o_custkey % 500 src", "o_orderkey % 500 dst").distinct()
 
 
-@query(f"with recursive {GRAPH}, c as (select distinct src root, src node, 0 depth from e where src % 25 = 0 union select c.root, e.dst, c.depth + 1 from c join e on e.src = c.node where c.depth < 3) select root, node, cast(min(depth) as integer) depth from c group by root, node")
+@query(f"with recursive {GRAPH}, c as (select distinct src root, src node, 0 depth from e union select c.root, e.dst, c.depth + 1 from c join e on e.src = c.node where c.depth < 5) select root, node, cast(min(depth) as integer) depth from c group by root, node")
 def ref_closure(t):
     e = graph(t)
-    return index.closure(e, e.where("src % 25 = 0").selectExpr("src root", "src node").distinct(), 3)
+    return index.closure(e, e.selectExpr("src root", "src node").distinct(), 5)
 
 
-@query(f"with recursive {GRAPH}, c as (select src root, dst node, 1 depth from e union select c.root, e.dst, c.depth + 1 from c join e on e.src = c.node where c.depth < 3) select distinct root from c where root = node")
+@query(f"with recursive {GRAPH}, c as (select src root, dst node from e union select c.root, e.dst from c join e on e.src = c.node) select distinct root from c where root = node")
 def ref_cycles(t):
     e = graph(t)
-    return index.closure(e, e.selectExpr("src root", "dst node").distinct(), 2).where("root = node").select("root").distinct()
-
-
-def graph_all(t):
-    return t("orders").where("o_custkey % 500 <> o_orderkey % 500").selectExpr("o_custkey % 500 src", "o_orderkey % 500 dst").distinct()
-
-
-@query()
-def ref_closure_all(t):
-    e = graph_all(t)
-    return index.closure(e, e.selectExpr("src root", "src node").distinct(), 5)
-
-
-@query()
-def ref_cycles_all(t):
-    e = graph_all(t)
     return index.closure(e, e.selectExpr("src root", "dst node").distinct(), None).where("root = node").select("root").distinct()
 
 
-def expanded_context(orders):
-    entries = orders.selectExpr("o_orderkey", "map_from_arrays(array('1.1', '1.2'), array(concat('by (1.2) ', o_orderkey), concat('a = ', o_custkey))) idx")
-
-    @F.pandas_udf("text string, notes array<string>")
-    def expand(s, idx):
-        import pandas as pd
-
-        return pd.DataFrame([latex.expand_refs(a, dict(b)) for a, b in zip(s, idx)], columns=["text", "notes"])
-
-    return entries.select("o_orderkey", expand(F.lit("Use (1.1)."), "idx").alias("r")).select("o_orderkey", "r.text", "r.notes")
-
-
-@query()
-def expand_context(t):
-    return expanded_context(t("orders").where("o_orderkey % 97 = 0"))
-
-
-@query()
-def expand_context_all(t):
-    return expanded_context(t("orders"))
-
-
 # Sets
 
 
@@ -537,17 +487,8 @@ def line_semi_join(t):
     return lines.line_table(t("documents")).withColumn("k", F.trim("line")).join(keys, "k", "left_semi").select("doc_id", "line_no")
 
 
-@query(f"""with {MISMATCH.replace("doc_id || ':' || exercise exercise", "exercise").replace("where part <> ''", "where part <> '' and doc_id % 50 = 0")}, m as (select exercise from w where statement_parts <> proof_parts), s2 as (select distinct 'Exercise ' || exercise || '-(' || part || ')' source_idx from s where part <> '' and doc_id % 50 = 0)
-select exercise, source_idx from m join s2 on starts_with(source_idx, 'Exercise ' || exercise)""")
-def prefix_fanout(t):
-    s = slots(t).where("part <> '' and doc_id % 50 = 0")
-    rows = s.select("exercise", "part", F.when(F.col("field") == "problem", F.col("value")).alias("problem"), F.when(F.col("field") == "proof", F.col("value")).alias("proof"))
-    sids = s.select(R.source_idx(F.col("exercise"), F.col("part")).alias("source_idx")).distinct()
-    return records.prefix_fanout(records.mismatches(rows), sids)
-
-
 @query()
-def prefix_fanout_all(t):
+def prefix_fanout(t):
     rows = part_rows(t)
     return records.prefix_fanout(records.mismatches(rows), rows.select(R.source_idx(F.col("exercise"), F.col("part")).alias("source_idx")).distinct())
 
