@@ -400,3 +400,13 @@ def test_non_negative_risk(spark):
             w = w - grad / (1 + k) ** 0.6
             best = min(best, risk(w)[0])
         assert risk(m.w)[1] >= 0 and risk(m.w)[0] < best + quality.SLACK
+
+
+def test_clashing_counts(spark):
+    """Columns called like a count are replaced, unless the counts get other names."""
+    docs = spark.createDataFrame([(1, "a b", 7, 8, 9), (2, None, 7, 8, 9)], "doc_id long, text string, N_removed int, n_words int, n_spans int")
+    for op, own in ((substrings, ("n_words", "n_removed")), (suffixes, ("n_bytes", "n_removed", "n_spans"))):
+        got = op.remove_repeats(docs)
+        assert len({c.lower() for c in got.columns}) == len(got.columns) and {r.n_removed for r in got.select("n_removed").collect()} == {0}
+        free = tuple(_common.fresh(docs.columns, c) for c in own)
+        assert {r.N_removed for r in op.remove_repeats(docs, names=free).select("N_removed").collect()} == {7}
