@@ -8,6 +8,7 @@ from .functions import pages as P
 from .functions import records as R
 from .functions import text as T
 from .operators import equations
+from .plans import book
 from .queries import NUMBERED, query
 
 # Documents with displays, tags, references and statements, from the lines of orders; the same text in Spark and here.
@@ -132,3 +133,42 @@ def block_labels(t):
 def page_scores(t):
     s = F.col("text")
     return t("documents").select("doc_id", P.page_score(s, T.bracket_errors(F.substring(s, 1, 8000)), F.lit(False), F.lit(False)).alias("score"), P.pathological(s).alias("pathological"), F.coalesce(P.reject_reason(s), F.lit("")).alias("reason"), P.running_headers(s)["removed"].alias("removed"))
+
+
+# TeX with statements and proofs, four layouts of the same exercises: nested sentinels, untagged proofs, environments alone, no parts.
+RECORD_COLUMNS = [
+    "l_orderkey doc_id",
+    f"cast({NUMBERED} as integer) n",
+    "l_orderkey % 4 layout",
+    "'3.' || (l_orderkey % 50) exercise",
+    "'Exercise 3.' || (l_orderkey % 50) || ' Given order ' || l_orderkey || '.' stem",
+    "case when l_returnflag = 'R' then 'Compute' else 'Show' end || ' item ' || l_partkey || '.' statement",
+    "'It is ' || l_suppkey || '.' proof",
+    "'lemma:' || (l_partkey % 9) || '.1' ref",
+]
+_RECORDS = f"m as (select {', '.join(RECORD_COLUMNS)} from lineitem)"
+PIECES = [
+    """case when layout = 3 then statement else '%<BLOCK type=subpart_statement exercise="' || exercise || '" part=' || chr(96 + n) || ' refs="' || ref || ', Lem: 7; none">' || chr(10) || statement || chr(10) || '%</BLOCK>' end s""",
+    """case layout when 3 then proof when 1 then '%<BLOCK type=proof label="Proof">' || chr(10) || proof || chr(10) || '%</BLOCK>'
+    else '%<BLOCK type=subpart_proof exercise="' || exercise || '" part="' || chr(96 + case when n = 3 then 2 else n end) || '">' || chr(10) || proof || chr(10) || '%</BLOCK>' end p""",
+]
+
+
+def exercise_documents(t):
+    rows = t("lineitem").selectExpr(*RECORD_COLUMNS).selectExpr("doc_id", "n", "layout", "stem", "exercise", *(x.replace("chr(", "char(") for x in PIECES))
+    joined = lambda c: F.array_join(F.transform("rows", lambda x: x[c]), "\n")
+    docs = rows.groupBy("doc_id", "layout", "stem", "exercise").agg(F.array_sort(F.collect_list(F.struct("n", "s", "p"))).alias("rows"))
+    block = lambda kind, label, *x: F.concat_ws("\n", F.concat(F.lit(f'%<BLOCK type={kind} label="'), label, F.lit('">')), *x, F.lit("%</BLOCK>"))
+    env = lambda kind, *x: F.concat_ws("\n", F.lit(f"\\begin{{{kind}}}"), *x, F.lit(f"\\end{{{kind}}}"))
+    thm, label = env("thm", F.col("stem"), joined("s")), F.concat(F.lit("Exercise "), "exercise")
+    text = F.when(F.col("layout") == 2, F.concat_ws("\n", thm, env("proof", joined("p"))))
+    text = text.when(F.col("layout") == 1, F.concat_ws("\n", block("thm", label, thm), joined("p")))
+    return docs.select("doc_id", text.otherwise(F.concat_ws("\n", block("thm", label, thm), block("proof", F.lit("Proof"), env("proof", joined("p"))))).alias("text"))
+
+
+@query(rf"""with {_RECORDS}, r as (select doc_id, n as index, 'Exercise ' || exercise || '-(' || chr(96 + n) || ')' source_idx, stem || chr(10) || chr(10) || statement problem, proof, proof as last, ref || '|lemma:7' theorem_refs from m where layout <> 3
+ union all select doc_id, 1, 'Exercise ' || min(exercise), min(stem) || chr(10) || string_agg(statement, chr(10) order by n), string_agg(proof, chr(10) order by n), arg_max(proof, n), '' from m where layout = 3 group by doc_id)
+select doc_id, index, source_idx, problem, proof, case when contains(problem, 'Compute') then '\[' || chr(10) || last || chr(10) || '\]' else '' end direct_answer, case when contains(problem, 'Compute') then '求值题' else '证明题' end as type, theorem_refs, problem problem_with_context from r""")
+def tex_records(t):
+    rows = book.tex_records(exercise_documents(t))
+    return rows.select("doc_id", "index", "source_idx", "problem", "proof", "direct_answer", F.element_at("题目类型", 1).alias("type"), F.array_join("theorem_refs", "|").alias("theorem_refs"), "problem_with_context")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from scriptorium import page_queries, queries
 from scriptorium.functions import pages as P
 from scriptorium.functions import text as T
+from scriptorium.operators import assemble as A
 from scriptorium.operators import equations as E
+from scriptorium.plans import book
 
 DATA = "/root/testdata/sf0.001"
 
@@ -111,3 +113,53 @@ def test_null_texts(spark):
     assert [(r.doc_id, r.tag) for r in E.equation_index(docs).collect()] == [(None, "1")]
     assert sorted((str(r.doc_id), r.refs) for r in E.references(docs).collect()) == [("1", []), ("3", []), ("None", ["1"])]
     assert E.display_blocks(docs.where("false")).count() == 0 and E.expanded(docs).count() == 3
+
+
+def block(kind, *lines, **attrs):
+    return "\n".join([f"%<BLOCK type={kind}" + "".join(f' {k}="{v}"' for k, v in attrs.items()) + ">", *lines, "%</BLOCK>"])
+
+
+def env(kind, *lines):
+    return "\n".join([f"\\begin{{{kind}}}", *lines, f"\\end{{{kind}}}"])
+
+
+def slots(s):
+    return [(e, p, x.problem, x.proof) for e, p, x in A.fold(s).rows()]
+
+
+def test_blocks():
+    assert A.opened('%<BLOCK label="no type">') is None and A.opened(r'  %<BLOCK type=thm label="a \"b\"" part=c>  ').attrs == {"type": "thm", "label": 'a "b"', "part": "c"}
+    s = block("thm", "one", block("note", "two", block("subpart_statement", "three")), "four")
+    (root,) = A.sentinel_roots(s)
+    assert root.body() == "one\nfour" and root.split("note")[0] == "one\nfour" and root.split("subpart_statement") == ("one\ntwo\nfour", [])
+    assert A.sentinel_roots("%</BLOCK>\n%<BLOCK type=thm>\nlost") == [] and A.sentinel_roots(block("note", "x")) == []
+    (root,) = A.environment_roots(env("thm", env("thm", "Exercise 2.1 in"), block("note", "n"), block("subpart_statement", "s", part="A")))
+    assert root.label == "Exercise 2.1" and root.body() == 'Exercise 2.1 in\n%<BLOCK type=note>\nn\n%</BLOCK>' and [x.body() for x in root.items if isinstance(x, A.Node)] == ["s"]
+    assert [(x.kind, x.label, x.body()) for x in A.environment_roots("\\begin{proof}\nopen")] == [("proof", "Proof", "open")]
+
+
+def test_slots():
+    part = lambda kind, p, text, **more: block(f"subpart_{kind}", text, part=p, **more)
+    many = block("thm", "Stem", part("statement", "B", "sb"), part("statement", "a", "sa"), part("statement", "c", "sc"), label="Exercise 1.2")
+    assert slots(many + "\n" + block("proof", "one") + "\n" + block("proof", "two")) == [("1.2", "a", "sa", "two"), ("1.2", "b", "sb", "one"), ("1.2", "c", "sc", "")]
+    twice = block("proof", "lead", part("proof", "b", "p1"), part("proof", "b", "p2"), part("proof", "b", "p3"))
+    assert slots(many + "\n" + twice) == [("1.2", "a", "sa", "p2"), ("1.2", "b", "sb", "p1"), ("1.2", "c", "sc", "p3")]
+    assert slots(many + "\n" + block("proof", "lead", part("proof", "c", "p"))) == [("1.2", "a", "sa", "lead"), ("1.2", "b", "sb", ""), ("1.2", "c", "sc", "p")]
+    assert slots(many + "\n" + block("proof", "lead", part("proof", "a", "p"))) == [("1.2", "a", "sa", "p"), ("1.2", "b", "sb", "lead"), ("1.2", "c", "sc", "")]
+    named = block("thm", part("statement", "a", "s", exercise="7.1")) + "\n" + block("thm", "plain")  # the number comes from the part, then from the block before
+    assert slots(named) == [("7.1", "a", "s", ""), ("7.1", "", "plain", "")]
+    assert slots(block("thm", "x")) == [("", "", "x", "")] and slots("") == [] and slots("text") == []
+    assert [k[0] for k in slots("\n".join(block("thm", "t", label=f"Exercise {n}") for n in ("2.10", "2.9", "10.1")))] == ["2.9", "2.10", "10.1"]
+    three = [env("thm", f"Exercise 5.{k}") + "\n" + env("proof", f"p{k}") for k in range(3)]
+    marked = "\n".join(block("thm", env("thm", f"Exercise 5.{k}"), label=f"Exercise 5.{k}") + "\n" + block("proof", env("proof", f"q{k}")) for k in range(2))
+    assert [x[3] for x in slots("\n".join(three + [block("thm", "m", label="Exercise 9.1")]))] == ["p0", "p1", "p2"]  # too few sentinels
+    assert [(x[0], x[3]) for x in slots(marked + "\n" + three[2])] == [("5.0", "q0"), ("5.1", "q1"), ("5.2", "p2")]  # the one that they lack
+
+
+def test_tex_records(spark):
+    text = block("origintext", "Every x.", label="Lemma 3") + "\n" + r"\[ a = b \tag{1.1} \]" + "\n" + block("thm", "Show it by (1.1) and (1.9).", label="Exercise 4", refs="Lem:3") + "\n" + block("proof", "Done.")
+    rows = book.tex_records(spark.createDataFrame([(1, text), (2, None), (None, text), (3, "")], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.doc_id for r in rows] == [None, 1]
+    r = rows[1]
+    assert (r["index"], r.source_idx, r.proof, r.body_refs, r.unresolved, r.theorem_refs, r.direct_answer) == (1, "Exercise 4", "Done.", ["1.1"], ["1.9"], ["lemma:3"], "")
+    assert r.problem_with_context.startswith("Reference formula (1.1): ") and "Reference result Lemma 3: Every x.. Problem: Show it" in r.problem_with_context
