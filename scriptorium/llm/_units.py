@@ -128,6 +128,7 @@ def meet(kept: DataFrame, out: str, parts: int, send: Callable[[str, pa.Table, n
         for path, rows in groups(batches):
             anchors = np.concatenate([np.frombuffer(r[1], np.uint64) for r in rows if r[1]] or [np.zeros(0, np.uint64)])
             sent = list(send(path, get_table(path), np.sort(anchors), parts)) if len(anchors) else []
+            give_back()
             yield pa.RecordBatch.from_arrays([pa.array([*(b for b, _ in sent), zlib.crc32(path.encode()) % parts], pa.int32()), pa.array([path] * (len(sent) + 1)), pa.array([*(d for _, d in sent), None], pa.binary())], ["bucket", "unit", "data"])
 
     def answering(batches):
@@ -158,6 +159,7 @@ def finish(answers: DataFrame, docs: DataFrame, text_col: str, extra: str, edit:
         for path, rows in groups(batches):
             unit = get_table(path)
             texts, more = edit(path, unit, [r[1] for r in rows if r[1] is not None])
+            give_back()
             text = pa.array(texts, pa.binary())
             cols = {c: unit.column(c) for c in docs_cols if c != text_col} | {text_col: text if binary else text.cast(pa.string())} | dict(zip(names[len(docs_cols) :], more))
             t = pa.table([cols[c] for c in names], names)

@@ -26,6 +26,8 @@ from ._common import exchange_parts, get_table, put_table, without, work_dir
 from ._units import LOW, finish, meet, stage, texts_of
 
 WIDTH, GRAM = 13, 4
+#: Text of a unit. Its words are objects of some ten times their bytes, in each of an executor's workers.
+UNIT_BYTES = 6 << 20
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -268,7 +270,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     docs = without(docs, *names)
     parts = exchange_parts(docs, text_col)
-    answers = meet(stage(docs, id_col, text_col, out, anchors, parts), out, parts, send, answer)
+    answers = meet(stage(docs, id_col, text_col, out, anchors, parts, UNIT_BYTES), out, parts, send, answer)
     return finish(answers, docs, text_col, ", ".join(f"`{c}` long" for c in names), edit)
 
 
