@@ -15,6 +15,9 @@ Empty table: no rows. Other columns are carried along, but for those called like
 
 from __future__ import annotations
 
+from array import array
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -108,35 +111,41 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     """Positions of all suffixes in order, by prefix doubling; ends at once where all ranks differ."""
     rank, k, n = np.unique(text, return_inverse=True)[1].astype(np.int64), 1, len(text)
     while True:
-        after = np.zeros(n, np.int64)
-        after[: n - k] = rank[k:] + 1
-        key = rank * (n + 1) + after
+        key = rank * (n + 1)
+        key[: n - k] += rank[k:] + 1
         order = np.argsort(key, kind="stable")
-        new = np.concatenate(([0], np.cumsum(key[order][1:] != key[order][:-1])))
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+        key = key[order]
+        new = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
+        del key
         if new[-1] == n - 1 or k >= n:
             return order
+        rank[order] = new
         k *= 2
 
 
 class FMIndex:
     """Index of segments (lists of words) with a document number each."""
 
-    def __init__(self, segments: list[list[bytes]], docs: np.ndarray, width: int):
+    def __init__(self, segments: Iterable[list[bytes]], docs: np.ndarray, width: int):
         self.width = width
-        vocab = {w: k + 1 for k, w in enumerate(sorted({w for s in segments for w in s}))}
-        self.size = np.fromiter(map(len, segments), np.int64, len(segments))
+        vocab: dict[bytes, int] = {}
+        words, sizes = array("q"), array("q")
+        for s in segments:  # one segment's words at a time; numbers are an eighth of them
+            words.extend(vocab.setdefault(w, len(vocab) + 1) for w in s)
+            sizes.append(len(s))
+        self.size = np.array(sizes, np.int64)
         self.start = np.concatenate(([0], np.cumsum(self.size + 1)))[:-1]
-        n = int((self.size + 1).sum())
+        n, count = len(words) + len(sizes), len(sizes)
         text = np.zeros(n, np.int64)  # symbol 0 ends a segment
         where = np.ones(n, bool)
         where[self.start + self.size] = False
-        text[where] = np.fromiter((vocab[w] for s in segments for w in s), np.int64)
-        own = text + len(segments) - 1  # every end sorts as a symbol of its own
-        own[~where] = np.arange(len(segments))
+        text[where] = np.frombuffer(words, np.int64) if words else 0
+        del words
+        own = text + count - 1  # every end sorts as a symbol of its own
+        own[~where] = np.arange(count)
         order = suffix_order(own)
         sigma = len(vocab) + 1
+        del vocab, where
         self.tree = WaveletMatrix(text[order - 1], sigma)
         self.before = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=sigma))))[:-1]
         self.text = text
@@ -234,7 +243,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         docs_ = np.full(len(number), np.iinfo(np.int64).max)
         for _, _, least, at in parts:
             np.minimum.at(docs_, at, least)
-        index = FMIndex([t.split(b" ") for t in number], docs_, width)
+        index = FMIndex((t.split(b" ") for t in number), docs_, width)
+        number.clear()
         found = index.matches()
         for unit, k, least, at in parts:
             n = index.size[at] - width + 1
