@@ -101,6 +101,17 @@ def test_oracle(spark, name):
     assert sorted(want.columns) == cols and sorted(map(repr, got[cols].values.tolist())) == sorted(map(repr, want[cols].values.tolist()))
 
 
+def test_pages_complete(spark):
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{DATA}/conversations.parquet'")
+    assert whole(spark, "doc_complete") == sorted(con.sql(queries.ORACLE_SQL["doc_complete"]).fetchall())
+    for s, pages, want in [
+        ("<!--  PAGE  2-->\nA\n\n <!--PAGE 3 --> \nB", 3, True), ("<!--  PAGE  2-->\nA\n\n <!--PAGE 3 --> \nB", 4, False), ("<!-- PAGE 2 -->\nsee <!-- PAGE 9 --> there", 3, False),
+        ("<!-- PAGE 1 -->\n\n<!-- PAGE 2 -->", 2, True), ("<!-- PAGE 99999999999999999999 -->", 3, True), ("no mark", 3, True), ("<!-- PAGE 1 -->", None, True), ("", None, False), (None, 1, False),
+    ]:
+        assert one(spark, T.pages_complete("s", F.lit(pages).cast("long")), s) is want
+
+
 def whole(spark, name):
     return sorted(map(tuple, queries.QUERIES[name](spark, DATA).collect()))
 
