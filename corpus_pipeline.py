@@ -1,6 +1,6 @@
 """A corpus pipeline of five operators. Each stage takes (spark, docs, sf_dir) and returns rows with the columns of documents, the last its ids.
 
-Work folders of a stage go when the next stage of that thread starts, since its result is written by then. Stages keep all columns
+Work folders of a stage go when the next stage of that thread starts, since its result is written by then, and executors return what their heaps don't need. Stages keep all columns
 of their input, whatever their names; null, repeated and missing ids are told apart by a row key of a name that is free.
 """
 
@@ -22,6 +22,7 @@ def _stage(f):
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         for uri in getattr(_last, "made", ()):
             _common.remove(uri)
+        _common.shrink_heaps(spark)
         before = _common.made()
         out = f(spark, docs, sf_dir)
         _last.made = _common.made() - before

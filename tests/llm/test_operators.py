@@ -410,3 +410,12 @@ def test_clashing_counts(spark):
         assert len({c.lower() for c in got.columns}) == len(got.columns) and {r.n_removed for r in got.select("n_removed").collect()} == {0}
         free = tuple(_common.fresh(docs.columns, c) for c in own)
         assert {r.N_removed for r in op.remove_repeats(docs, names=free).select("N_removed").collect()} == {7}
+
+
+def test_stages_shrink_heaps(spark, docs):
+    """Executors (here the local one) collect their garbage when a stage of the pipeline starts, whatever the stage runs itself."""
+    beans = lambda: spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans() if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    corpus_pipeline.encoding_stage(spark, docs, "")  # writes nothing before its result is asked for
+    assert full() > before
