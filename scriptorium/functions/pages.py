@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
 from difflib import SequenceMatcher
+from functools import lru_cache, reduce
+from operator import or_
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from .records import statement_kind, statement_refs
-from .text import any_of, compact, escape_attr, filled, for_compare, has_prompt_leak, is_layout, join, lines, probe_line, strip, strip_code_fences, strip_outer_document, text, unbalanced_display
+from .text import any_of, compact, escape_attr, filled, for_compare, has_prompt_leak, is_layout, join, let, lines, probe_line, strip, strip_code_fences, strip_outer_document, text, unbalanced_display
 
 #: Running headers and what follows a header glued into a line, echoes, and commands that bound blocks.
 RUNNING_HEADERS = [
@@ -18,6 +22,7 @@ RUNNING_HEADERS = [
     r"^\s*#*\s*\d+\s+Duality\s*$", r"^\s*#*\s*Generalized inequalities\s*$",
 ]
 GLUED_HEADERS = ["Exercises", r"\d+\s+Convex sets", r"\d+\s+Duality"]
+HEADER_WORDS = ["exercises", "chapter", "convex sets", "convex functions", "duality", "generalized inequalities"]  # each of those has one
 ECHOES = ["ocr to markdown", "output markdown only", "output only the content", "extract all text and math"]
 HARD_STARTS = [r"\section", r"\subsection", r"\subsubsection", r"\chapter", r"\paragraph", r"\clearpage", r"\newpage", "% ===== Page"]
 MATH_ENVIRONMENTS = r"\\begin\{(?:array|cases|aligned|alignedat|split|matrix|pmatrix|bmatrix|vmatrix|Vmatrix|smallmatrix)\}"
@@ -30,12 +35,17 @@ ORIGIN_ENVIRONMENTS = "defn|thm|lem|prop|cor|alg"
 
 def running_headers(c) -> Column:
     """struct(text, removed): lines that are a running header go, headers glued into a line become a blank; those count as one."""
-    found = F.filter(lines(c), lambda x: (strip(x) != "") & any_of(strip(x), RUNNING_HEADERS))
-    kept = join(F.filter(lines(c), lambda x: (strip(x) == "") | ~any_of(strip(x), RUNNING_HEADERS)))
-    cut = kept
-    for p in GLUED_HEADERS:
-        cut = F.regexp_replace(cut, rf"(?i)(?<=[A-Za-z0-9\.\)\]])\s*{p}\s+(?=(?:\d+\.\d+\b|[A-Z]\w))", " ")
-    return F.struct(strip(cut).alias("text"), (F.size(found) + (cut != kept).cast("int")).alias("removed"))
+
+    def result(all_, rest):
+        kept = join(rest)
+        cut = kept
+        for p in GLUED_HEADERS:
+            cut = F.regexp_replace(cut, rf"(?i)(?<=[A-Za-z0-9\.\)\]])\s*{p}\s+(?=(?:\d+\.\d+\b|[A-Z]\w))", " ")
+        return let(cut, lambda t: F.struct(strip(t).alias("text"), (F.size(all_) - F.size(rest) + (t != kept).cast("int")).alias("removed")))
+
+    found = let(F.lower(text(c)), lambda t: reduce(or_, (F.contains(t, F.lit(w)) for w in HEADER_WORDS)))
+    none = F.struct(strip(join(lines(c))).alias("text"), F.lit(0).alias("removed"))
+    return F.when(~found, none).otherwise(let(lines(c), lambda all_: let(F.filter(all_, lambda x: let(strip(x), lambda y: (y == "") | ~any_of(y, RUNNING_HEADERS))), lambda rest: result(all_, rest))))
 
 
 def tidy_page(c) -> Column:
@@ -77,12 +87,64 @@ def page_score(c, brackets: Column, truncated: Column, cut_off: Column) -> Colum
     return F.when(s == "", -1e9).otherwise(own.cast("double"))
 
 
+PHRASE = (20, 80, 5)  # a phrase's least and most characters, and how often it stands in a row
+
+
+@lru_cache(maxsize=None)
+def _blocks(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(end, start, length) of all blocks to compare in n characters, by end."""
+    pairs = [(np.arange(0, n - 3 * p + 1, 2 * p), p) for p in range(PHRASE[0], PHRASE[1] + 1)]
+    start, length = np.concatenate([k for k, _ in pairs]), np.concatenate([np.full(len(k), p) for k, p in pairs])
+    order = np.argsort(start + 3 * length, kind="stable")
+    return (start + 3 * length)[order], start[order], length[order]
+
+
+def phrase_repeats(s: str) -> bool:
+    """Whether a phrase stands five times in a row within a line: what (.{20,80})\\1{4,} finds by trying all lengths at all places.
+
+    A phrase of p characters five times is 4 p places in a row that equal the one p later; these hold a whole block of 2 p
+    from a multiple of 2 p, so one look at each such block is enough. Longer lines go in pieces that overlap.
+    """
+    least, _, times = PHRASE
+    size = 1 << 14
+    for line in re.split("[\n\r\x85\u2028\u2029]", s):
+        for begin in range(0, max(len(line) - 1000, 1), size - 1000):
+            part = line[begin : begin + size]
+            if len(part) < least * times:
+                continue
+            a = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+            end, at, p = _blocks(min(size, 1 << len(part).bit_length()))
+            n = np.searchsorted(end, len(part), "right")
+            at, p = at[:n], p[:n]
+            for over in (1, 2, 3, 5):  # a few places of each block before all of it
+                k = at + 2 * p // over - 1
+                same = a[k] == a[k + p]
+                at, p = at[same], p[same]
+            for k, q in zip(at.tolist(), p.tolist()):
+                if part[k : k + 2 * q] == part[k + q : k + 3 * q]:
+                    lo, hi = k, k + 2 * q
+                    while lo and hi - lo < (times - 1) * q and part[lo - 1] == part[lo - 1 + q]:
+                        lo -= 1
+                    while hi + q < len(part) and hi - lo < (times - 1) * q and part[hi] == part[hi + q]:
+                        hi += 1
+                    if hi - lo >= (times - 1) * q:
+                        return True
+    return False
+
+
+@F.arrow_udf(BooleanType())
+def _phrase_repeats(a: pa.Array) -> pa.Array:
+    return pa.array([phrase_repeats(re.sub("[ \t\n\x0b\f\r]+", " ", x.as_py())) for x in a], pa.bool_())
+
+
 def pathological(c) -> Column:
     """One line eight times among twenty or more, a run of eighty numbers, or a phrase five times in a row."""
     t = strip(text(c))
-    own = F.array_sort(filled(lines(t)))
-    eighth = F.exists(F.sequence(F.lit(1), F.greatest(F.size(own) - 7, F.lit(1))), lambda k: F.try_element_at(own, k) == F.try_element_at(own, k + 7))
-    return ((F.size(own) >= 20) & F.coalesce(eighth, F.lit(False))) | t.rlike(r"(?:\b\d+\.\s*){80,}") | F.regexp_replace(t, r"\s+", " ").rlike(r"(.{20,80})\1{4,}")
+    eighth = lambda own: F.exists(F.sequence(F.lit(1), F.size(own) - 7), lambda k: F.element_at(own, k) == F.element_at(own, k + 7))
+    sorted_ = lambda all_: let(F.array_sort(filled(all_)), lambda own: F.when(F.size(own) >= 20, eighth(own)).otherwise(False))
+    many = let(lines(t), lambda all_: F.when(F.size(all_) >= 20, sorted_(all_)).otherwise(False))
+    # The exact count means the same as "or more" and can't exhaust the stack.
+    return many | t.rlike(r"(?:\b\d+\.\s*){80}") | _phrase_repeats(t)
 
 
 def reject_reason(c) -> Column:

@@ -2,6 +2,9 @@
 
 import bisect
 import importlib
+import random
+import re
+import time
 
 import duckdb
 import pytest
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 
 from scriptorium import queries
 from scriptorium.functions import latex
+from scriptorium.functions import pages as P
 from scriptorium.functions import records as R
 from scriptorium.functions import text as T
 from scriptorium.operators import enrich, index, lines, merge, records, segment
@@ -159,3 +163,31 @@ def test_long_cycle(spark):
 
 def test_entry_without_llm():
     assert importlib.import_module("__spark_entry__").queries()
+
+
+def test_one_evaluation(spark):
+    """Values that rules mention often are evaluated once, so long texts of many lines, and blank ones, end."""
+    blank = spark.createDataFrame([(" \n\t\n",), ("",), (None,), ("x\n" * 300,)], "s string")
+    assert [r.x for r in blank.select(T.interleaved_columns("s").alias("x")).collect()] == [False, False, False, True]
+    began = time.time()
+    assert one(spark, P.pathological("s"), "\n".join(f"line {k} of {k * k}" for k in range(20000))) is False and time.time() - began < 30
+    assert one(spark, P.pathological("s"), " ".join(f"{k}." for k in range(5000))) is True
+    for c, s, want in [
+        (T.has_heavy_repetition("s"), "\n".join([f"a line  that is{b}long enough" for b in " \t\xa0"] + [f"x{k}" for k in range(9)]), True),
+        (T.english_ok("s"), "it's one two three four five", True), (T.english_ok("s"), "a'b c d e f", False), (T.english_ok("s"), "één twee één öö ää üü", False), (T.english_ok("s"), "één two three four five six", True),
+        (P.running_headers("s")["removed"], "text", 0), (P.running_headers("s")["removed"], "x\n CHAPTER 3 \ny", 1),
+    ]:
+        assert one(spark, c, s) == want, s
+
+
+def test_phrase_repeats():
+    r = random.Random(3)
+    pattern, found = re.compile("([^\n\r\x85  ]{20,80})\\1{4}"), 0
+    for k in range(600):
+        phrase = "".join(r.choices("ab ", k=r.randint(18, 84)))
+        s = "".join(r.choices("abcd", k=r.choice([0, 50, 15900, 16300]))) + (phrase * 6)[: r.randint(len(phrase) * 4, len(phrase) * 6)] + "".join(r.choices("ab", k=r.randint(0, 99)))
+        if k % 5 == 0:
+            s = s[:-150] + "\n" + s[-150:]
+        found += (want := bool(pattern.search(s)))
+        assert P.phrase_repeats(s) == want
+    assert 100 < found < 500
