@@ -11,6 +11,7 @@ from scriptorium.functions import pages as P
 from scriptorium.functions import text as T
 from scriptorium.operators import assemble as A
 from scriptorium.operators import equations as E
+from scriptorium.operators import segment
 from scriptorium.plans import book
 
 DATA = "/root/testdata/sf0.001"
@@ -163,3 +164,25 @@ def test_tex_records(spark):
     r = rows[1]
     assert (r["index"], r.source_idx, r.proof, r.body_refs, r.unresolved, r.theorem_refs, r.direct_answer) == (1, "Exercise 4", "Done.", ["1.1"], ["1.9"], ["lemma:3"], "")
     assert r.problem_with_context.startswith("Reference formula (1.1): ") and "Reference result Lemma 3: Every x.. Problem: Show it" in r.problem_with_context
+
+
+def test_many_references():
+    tags = {str(k): {"equation": f"({(k + 1) % 3000})", "content": ""} for k in range(3000)}
+    began = time.time()
+    text, _ = E.expand(" ".join(f"({k})" for k in range(3000)) + " plain words" * 2000, tags, {"lemma:1": {"display": "Lemma 1", "content": "x"}})
+    assert text.count("[(") == 3000 and time.time() - began < 10
+
+
+def test_compiled_once(monkeypatch):
+    s = "\\[ \\begin{aligned} a \\\\ b \\end{aligned} \\tag{1.1} \\tag{1.2} \\] $$ x (2.1a) $$ \\begin{align} a \\tag{3.1} \\\\ b \\tag{3.2} \\end{align} see (1.1), (2.1)"
+    monkeypatch.setattr(E.re, "_compile", lambda *a: pytest.fail("a pattern was looked up"))
+    tags, more = E.tag_index(s), E.fallback_index(s)
+    refs = E.body_refs(s, more | tags, {})[0]
+    monkeypatch.undo()
+    assert list(tags) == ["1.1", "1.2", "3.1", "3.2"] and refs == ["2.1a", "1.1", "2.1"] and tags["3.2"]["equation"] == "\\begin{align*}\nb \\tag{3.2}\n\\end{align*}"
+
+
+def test_attributes_once(spark):
+    plan = queries.QUERIES["attrs_map"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
+    assert one(spark, segment.attributes(F.col("s")), 'a="1=\\"x\\"" b=2 a=3 c="" a=4') == {"b": "2", "a": "4", "c": ""}
