@@ -64,10 +64,12 @@ def caption(label, rest) -> Column:
 
 def without_commands(c) -> Column:
     """Bold and emphasised words stay, their commands and the delimiters of formulas go."""
-    s = text(c)
-    for name in ("textbf", "emph", "mathbf"):
-        s = F.regexp_replace(s, rf"\\{name}\{{([^}}]*)\}}", "$1")
-    return strip(F.regexp_replace(s, r"\\[()\[\]]", ""))
+    def plain(s):
+        for name in ("textbf", "emph", "mathbf"):
+            s = F.regexp_replace(s, rf"\\{name}\{{([^}}]*)\}}", "$1")
+        return F.regexp_replace(s, r"\\[()\[\]]", "")
+
+    return let(text(c), lambda s: strip(F.when(F.contains(s, F.lit("\\")), plain(s)).otherwise(s)))
 
 
 def looks_bad(c) -> Column:
@@ -223,11 +225,16 @@ def first_and_rest(c) -> Column:
 
 def block_label(env: Column, body, statements: bool = False) -> Column:
     """Proof; exercise (or statement) and number from the first eight lines; else the first line, cut at 120."""
-    head = without_commands(join(F.slice(lines(body), 1, 8)))
-    p, line = STATEMENT if statements else TITLE, without_commands(first_line(body))
-    own = F.concat(F.initcap(statement_kind(F.regexp_extract(head, p, 1))), F.lit(" "), F.regexp_extract(head, p, 2)) if statements else F.concat(F.lit("Exercise "), F.regexp_extract(head, p, 1))
-    short = F.when(line == "", "UNKNOWN").when(F.length(line) > 120, F.concat(F.substring(line, 1, 120), F.lit("..."))).otherwise(line)
-    return F.when(env == "proof", "Proof").when(head.rlike(p), own).otherwise(short)
+    p = STATEMENT if statements else TITLE
+
+    def named(head):
+        number = F.regexp_extract(head, p, 2 if statements else 1)
+        return F.concat(F.initcap(statement_kind(F.regexp_extract(head, p, 1))) if statements else F.lit("Exercise"), F.lit(" "), number)
+
+    cut = lambda line: F.when(line == "", "UNKNOWN").when(F.length(line) > 120, F.concat(F.substring(line, 1, 120), F.lit("..."))).otherwise(line)
+    short = let(without_commands(first_line(body)), cut)
+    label = let(without_commands(join(F.slice(lines(body), 1, 8))), lambda head: F.when(head.rlike(p), named(head)).otherwise(short))
+    return F.when(env == "proof", "Proof").otherwise(label)
 
 
 def block_open(kind: Column, label, exercise=None, part=None, refs=None) -> Column:
