@@ -191,3 +191,22 @@ def test_phrase_repeats():
         found += (want := bool(pattern.search(s)))
         assert P.phrase_repeats(s) == want
     assert 20 < found < 280
+
+
+def test_prefix_keys(spark):
+    """Prefixes that end as no name does aren't joined; all matches are found."""
+    names = spark.createDataFrame([("7:2.1",), ("7:3.4",)], "exercise string")
+    rows = spark.createDataFrame([("Exercise 7:2.10-(a)",), ("Exercise 7:2.1",), ("Exercise 7:3.4",), ("Exercise 8:3.4",), ("Exercise",), (None,)], "source_idx string")
+    out = records.prefix_fanout(names, rows)
+    assert sorted(map(tuple, out.collect())) == [("7:2.1", "Exercise 7:2.1"), ("7:2.1", "Exercise 7:2.10-(a)"), ("7:3.4", "Exercise 7:3.4")]
+    assert records.prefix_fanout(names.where("exercise is null"), rows).count() == 0
+    assert "array_contains" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_squash_once(spark):
+    s, mixed = "a line that is long enough", [(f"line {k} that is long enough") for k in range(4000)]
+    began = time.time()
+    assert one(spark, T.squash_repeats("s"), "\n".join(mixed)).count("\n") == 3999 and time.time() - began < 20
+    assert one(spark, T.squash_repeats("s"), "\n".join([s, s.upper(), s, "x", s, "", s, s, s])).split("\n") == [s, s.upper(), "x", s, "", s, s]
+    plan = spark.range(1).select(T.squash_repeats(F.lit(s)).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("regexp_replace(") < 4
